@@ -105,23 +105,30 @@ def running_totals(
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Mapping[str, float]) -> DataFrame:
-    """Linear-interpolated quantiles: one row per column, one field per fraction.
+def count_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Copies of each value per column, in one pass: ``name``, ``value``, ``copies``.
 
-    All columns share one pass: values are counted map-side per (column,
-    value), so hot values such as imputed zeros cost one row each.
+    Counted map-side, so a hot value such as an imputed zero costs one row.
     """
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]
     )
-    counted = (
-        df.select(pairs.alias("pair"))
-        .select("pair.name", "pair.value")
+    return (
+        df.select(*keep, F.explode(pairs).alias("pair"))
+        .select(*keep, "pair.name", "pair.value")
         .where(F.col("value").isNotNull())
-        .groupBy("name", "value")
+        .groupBy(*keep, "name", "value")
         .agg(F.count("*").alias("copies"))
     )
-    ranked = running_totals(counted, ["name"], ["value"], {"upto": "copies"})
+
+
+def exact_quantiles(counted: DataFrame, groups: Sequence[str], fractions: Mapping[str, float]) -> DataFrame:
+    """Linear-interpolated quantiles of counted values, one row per group.
+
+    ``counted`` holds ``value`` and ``copies``; ``fractions`` names the result
+    columns. A value may come in a few rows of one group.
+    """
+    ranked = running_totals(counted, groups, ["value"], {"upto": "copies"})
     picked = []
     for label, fraction in fractions.items():
         position = F.lit(float(fraction)) * (F.col("upto_all") - 1)
@@ -129,9 +136,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Mapping[st
             holds = (F.col("upto") - F.col("copies") <= index) & (index < F.col("upto"))
             picked.append(F.max(F.when(holds, F.col("value"))).alias(f"{label}_{side}"))
         picked.append(F.max(position - F.floor(position)).alias(f"{label}_part"))
-    found = ranked.groupBy("name").agg(*picked)
+    found = ranked.groupBy(*groups).agg(*picked)
     return found.select(
-        "name",
+        *groups,
         *[
             (
                 F.col(f"{label}_low") + (F.col(f"{label}_high") - F.col(f"{label}_low")) * F.col(f"{label}_part")

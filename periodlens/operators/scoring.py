@@ -7,18 +7,17 @@ the driver; rows are scored with column expressions.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodlens.operators.ordering import exact_quantiles
+from periodlens.operators.ordering import count_values, exact_quantiles
 from periodlens.operators.panel import FEATURES, LABEL
 
 # Band limits, rule weights, quantiles and driver wording.
@@ -85,23 +84,22 @@ class SplitStats:
 
     train_rows: int
     train_positives: int
-    first_train_year: int
-    last_train_year: int
+    first_train_year: int | None
+    last_train_year: int | None
     valid_rows: int
     valid_positives: int
 
 
 @dataclass(frozen=True)
 class Scored:
-    """Scored validation rows with what was fitted to produce them."""
+    """Scored rows of all validation years with what was fitted per year."""
 
     rows: DataFrame
     model_name: str
-    model_version: str
-    validation_year: int
-    split: SplitStats
-    fitted: dict = field(default_factory=dict)
-    model: LogisticRegressionModel | None = None
+    versions: dict[int, str]
+    splits: dict[int, SplitStats]
+    fitted: dict[int, dict]
+    models: dict[int, LogisticRegressionModel] = field(default_factory=dict)
 
 
 def model_version(name: str, validation_year: int, tag: str | None = None) -> str:
@@ -109,26 +107,38 @@ def model_version(name: str, validation_year: int, tag: str | None = None) -> st
     return f"{tagged}_train_to_{validation_year - 1}_validate_{validation_year}"
 
 
-def split_stats(training: DataFrame, validation_year: int) -> SplitStats:
-    """Counts of both sides in one pass; raises if the split is unusable."""
-    label, year = F.col(LABEL), F.col("year")
-    earlier, current = year < validation_year, year == validation_year
-    row = training.where(year <= validation_year).agg(
-        F.count_if(earlier).alias("train_rows"),
-        F.count_if(earlier & (label == 1)).alias("train_positives"),
-        F.min(F.when(earlier, year)).alias("first_train_year"),
-        F.max(F.when(earlier, year)).alias("last_train_year"),
-        F.count_if(current).alias("valid_rows"),
-        F.count_if(current & (label == 1)).alias("valid_positives"),
-    ).first()
-    stats = SplitStats(**row.asDict())
-    if not stats.train_rows or not stats.valid_rows:
-        raise ValueError(f"training or validation set of {validation_year} is empty")
-    if stats.train_positives in (0, stats.train_rows):
-        raise SingleClassError(f"training data before {validation_year} holds only one class")
+def split_stats(training: DataFrame, years: Sequence[int]) -> dict[int, SplitStats]:
+    """Counts of both sides of every split, in one pass."""
+    by_year = (
+        training.where(F.col("year") <= max(years))
+        .groupBy("year")
+        .agg(F.count("*").alias("rows"), F.count_if(F.col(LABEL) == 1).alias("positives"))
+        .collect()  # one row per calendar year
+    )
+    stats = {}
+    for year in years:
+        train = [r for r in by_year if r["year"] < year]
+        valid = [r for r in by_year if r["year"] == year]
+        stats[year] = SplitStats(
+            train_rows=sum(r["rows"] for r in train),
+            train_positives=sum(r["positives"] for r in train),
+            first_train_year=min((r["year"] for r in train), default=None),
+            last_train_year=max((r["year"] for r in train), default=None),
+            valid_rows=sum(r["rows"] for r in valid),
+            valid_positives=sum(r["positives"] for r in valid),
+        )
     return stats
 
 
+def require_usable(stats: Mapping[int, SplitStats]) -> None:
+    """Raise if a split is empty or its training rows hold one class only."""
+    for year, split in stats.items():
+        if not split.train_rows or not split.valid_rows:
+            raise ValueError(f"training or validation set of {year} is empty")
+        if split.train_positives in (0, split.train_rows):
+            raise SingleClassError(f"training data before {year} holds only one class")
+
+
 def impute_zero(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
 
@@ -160,21 +170,36 @@ def top_drivers(
     return [F.get(ordered, F.lit(i))["text"].alias(name) for i, name in enumerate(DRIVER_COLUMNS)]
 
 
+def _with_year_values(training: DataFrame, values: Mapping[int, Mapping[str, float]]) -> DataFrame:
+    """Rows of the validation years with the fitted values of their year.
+
+    The values are a few numbers per feature and year, held by the driver.
+    """
+    names = sorted({name for fitted in values.values() for name in fitted})
+    schema = ", ".join(["year int", *[f"`{name}` double" for name in names]])
+    rows = [(year, *[float(fitted[name]) for name in names]) for year, fitted in values.items()]
+    return training.join(training.sparkSession.createDataFrame(rows, schema), "year")
+
+
 def _score_rows(
-    features: DataFrame,
-    score: Column,
+    valid: DataFrame,
     contributions: Mapping[str, Column],
+    score: Callable[[Column], Column],
     wording: Mapping[str, str],
     positives_first: bool,
-    version: str,
+    versions: Mapping[int, str],
 ) -> DataFrame:
+    """Score from the sum of contributions, with band and drivers."""
     # Contributions become columns first so that none is computed twice.
-    held = features.withColumns({f"_part_{name}": value for name, value in contributions.items()})
+    held = valid.withColumns({f"_part_{name}": value for name, value in contributions.items()})
     parts = {name: F.col(f"_part_{name}") for name in contributions}
-    return held.withColumn("risk_score", score).select(
+    version = F.lit(None).cast("string")
+    for year, text in versions.items():
+        version = F.when(F.col("year") == year, text).otherwise(version)
+    return held.withColumn("risk_score", score(reduce(add, parts.values()))).select(
         "mine_key",
         "period_key",
-        F.lit(version).alias("model_version"),
+        version.alias("model_version"),
         "risk_score",
         risk_band(F.col("risk_score")).alias("risk_band"),
         *top_drivers(parts, wording, positives_first),
@@ -183,68 +208,77 @@ def _score_rows(
     )
 
 
-def rule_bounds(train: DataFrame, features: Sequence[str] = tuple(RULE_WEIGHTS)) -> DataFrame:
-    """Exact lower and upper quantile per feature after zero imputation."""
+def rule_bounds(
+    training: DataFrame, years: Sequence[int], features: Sequence[str] = tuple(RULE_WEIGHTS)
+) -> DataFrame:
+    """Exact outer quantiles per feature over the years before each validation year.
+
+    Values are counted once per calendar year and then shared by all windows.
+    """
+    counted = count_values(
+        impute_zero(training.where(F.col("year") < max(years)), features), features, keep=["year"]
+    )
+    later = F.filter(F.array(*[F.lit(y) for y in years]), lambda y: y > F.col("year"))
+    windows = counted.select(F.explode(later).alias("validation_year"), "name", "value", "copies")
     return exact_quantiles(
-        impute_zero(train, features), features, {"p05": LOWER_QUANTILE, "p95": UPPER_QUANTILE}
+        windows, ["validation_year", "name"], {"p05": LOWER_QUANTILE, "p95": UPPER_QUANTILE}
     )
 
 
-def rule_contributions(
-    bounds: Mapping[str, tuple[float, float]], weights: Mapping[str, float]
-) -> dict[str, Column]:
+def _rule_contribution(feature: str, weight: float) -> Column:
     """Winsorised min-max value times weight, reversed where less is worse."""
-    contributions = {}
-    for feature, weight in weights.items():
-        low, high = bounds[feature]
-        share = F.lit(0.0)
-        if high != low:
-            clipped = F.greatest(F.least(F.col(feature), F.lit(high)), F.lit(low))
-            share = (clipped - F.lit(low)) / F.lit(high - low)
-        if feature in NEGATIVE_DIRECTION:
-            share = F.lit(1.0) - share
-        contributions[feature] = share * F.lit(float(weight))
-    return contributions
+    low, high = F.col(f"_low_{feature}"), F.col(f"_high_{feature}")
+    clipped = F.greatest(F.least(F.col(feature), high), low)
+    share = F.when(high != low, (clipped - low) / (high - low)).otherwise(F.lit(0.0))
+    if feature in NEGATIVE_DIRECTION:
+        share = F.lit(1.0) - share
+    return share * F.lit(float(weight))
 
 
 def score_rule(
     training: DataFrame,
-    validation_year: int,
+    years: Sequence[int],
     weights: Mapping[str, float] = RULE_WEIGHTS,
     name: str = "rule_score",
 ) -> Scored:
-    """Weighted rule score of the validation year, bounds from earlier years."""
+    """Weighted rule score of each validation year, bounds from earlier years."""
     missing = [f for f in weights if f not in training.columns]
     if missing:
         raise ValueError(f"features of the rule missing from the panel: {missing}")
-    split = split_stats(training, validation_year)
-    train = training.where(F.col("year") < validation_year)
-    valid = impute_zero(training.where(F.col("year") == validation_year), list(weights))
-    # At most one row per configured feature.
-    bounds = {r["name"]: (r["p05"], r["p95"]) for r in rule_bounds(train, list(weights)).collect()}
-    contributions = rule_contributions(bounds, weights)
-    version = model_version(name, validation_year)
-    score = reduce(add, [F.col(f"_part_{f}") for f in contributions])
-    rows = _score_rows(valid, score, contributions, RULE_DRIVERS, False, version)
+    splits = split_stats(training, years)
+    require_usable(splits)
+    # One row per validation year and configured feature.
+    bounds = rule_bounds(training, years, list(weights)).collect()
+    values: dict[int, dict[str, float]] = {year: {} for year in years}
     fitted = {
-        "active_features": list(weights),
-        "weights": dict(weights),
-        "normalization_bounds": {f: {"p05": low, "p95": high} for f, (low, high) in bounds.items()},
+        year: {"active_features": list(weights), "weights": dict(weights), "normalization_bounds": {}}
+        for year in years
+    }
+    for row in bounds:
+        year, feature = row["validation_year"], row["name"]
+        values[year] |= {f"_low_{feature}": row["p05"], f"_high_{feature}": row["p95"]}
+        fitted[year]["normalization_bounds"][feature] = {"p05": row["p05"], "p95": row["p95"]}
+    valid = impute_zero(_with_year_values(training, values), list(weights))
+    contributions = {f: _rule_contribution(f, weight) for f, weight in weights.items()}
+    versions = {year: model_version(name, year) for year in years}
+    rows = _score_rows(valid, contributions, lambda total: total, RULE_DRIVERS, False, versions)
+    return Scored(rows, name, versions, splits, fitted)
+
+
+def population_scaler(
+    training: DataFrame, years: Sequence[int], features: Sequence[str]
+) -> dict[int, dict[str, tuple[float, float]]]:
+    """Mean and population deviation per split and feature; a constant gets scale 1."""
+    measures = []
+    for year in years:
+        for i, feature in enumerate(features):
+            seen = F.when(F.col("year") < year, F.col(feature))
+            measures += [F.avg(seen).alias(f"mean_{year}_{i}"), F.stddev_pop(seen).alias(f"scale_{year}_{i}")]
+    row = training.where(F.col("year") < max(years)).agg(*measures).first()
+    return {
+        year: {f: (row[f"mean_{year}_{i}"], row[f"scale_{year}_{i}"] or 1.0) for i, f in enumerate(features)}
+        for year in years
     }
-    return Scored(rows, name, version, validation_year, split, fitted)
-
-
-def population_scaler(train: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per feature; a constant gets scale 1."""
-    row = train.agg(
-        *[F.avg(f).alias(f"mean_{f}") for f in features],
-        *[F.stddev_pop(f).alias(f"scale_{f}") for f in features],
-    ).first()
-    return {f: (row[f"mean_{f}"], row[f"scale_{f}"] or 1.0) for f in features}
-
-
-def _scaled(scaler: Mapping[str, tuple[float, float]]) -> dict[str, Column]:
-    return {f: (F.col(f) - F.lit(mean)) / F.lit(scale) for f, (mean, scale) in scaler.items()}
 
 
 def fit_logistic(
@@ -253,6 +287,7 @@ def fit_logistic(
     split: SplitStats,
     c: float = 1.0,
     max_iter: int = 1000,
+    tol: float = 1e-8,
 ) -> LogisticRegressionModel:
     """L2-penalised fit with balanced class weights and a free intercept.
 
@@ -264,7 +299,7 @@ def fit_logistic(
     scaled = train.select(
         F.col(LABEL).cast("double").alias("label"),
         weight.alias("weight"),
-        *[value.alias(f) for f, value in _scaled(scaler).items()],
+        *[((F.col(f) - F.lit(mean)) / F.lit(scale)).alias(f) for f, (mean, scale) in scaler.items()],
     )
     assembled = VectorAssembler(inputCols=list(scaler), outputCol="features").transform(scaled)
     estimator = LogisticRegression(
@@ -273,42 +308,54 @@ def fit_logistic(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
-        tol=1e-8,
+        tol=tol,
     )
     return estimator.fit(assembled.select("features", "label", "weight"))
 
 
 def score_logistic(
     training: DataFrame,
-    validation_year: int,
+    years: Sequence[int],
     features: Sequence[str] = FEATURES,
     name: str = "logreg",
     tag: str | None = "mvp11",
     c: float = 1.0,
     max_iter: int = 1000,
 ) -> Scored:
-    """Class-1 probability of the validation year, fitted on earlier years."""
-    split = split_stats(training, validation_year)
-    train = impute_zero(training.where(F.col("year") < validation_year), features)
-    valid = impute_zero(training.where(F.col("year") == validation_year), features)
-    scaler = population_scaler(train, features)
-    model = fit_logistic(train, scaler, split, c, max_iter)
-    coefficients = dict(zip(features, model.coefficients.toArray().tolist()))
-    scaled = _scaled(scaler)
-    contributions = {f: scaled[f] * F.lit(coefficients[f]) for f in features}
-    version = model_version(name, validation_year, tag)
-    vectors = VectorAssembler(inputCols=[f"_scaled_{f}" for f in features], outputCol="features")
-    prepared = vectors.transform(valid.withColumns({f"_scaled_{f}": value for f, value in scaled.items()}))
-    predicted = model.transform(prepared)
-    probability = vector_to_array("probability")[1]
-    rows = _score_rows(predicted, probability, contributions, LOGISTIC_DRIVERS, True, version)
-    fitted = {
-        "scaler_mean": [scaler[f][0] for f in features],
-        "scaler_scale": [scaler[f][1] for f in features],
-        "coefficients": [coefficients[f] for f in features],
-        "intercept": float(model.intercept),
+    """Class-1 probability of each validation year, fitted on earlier years."""
+    splits = split_stats(training, years)
+    require_usable(splits)
+    imputed = impute_zero(training, features)
+    scalers = population_scaler(imputed, years, features)
+    values, fitted, models = {}, {}, {}
+    for year in years:
+        scaler = scalers[year]
+        model = fit_logistic(imputed.where(F.col("year") < year), scaler, splits[year], c, max_iter)
+        coefficients = dict(zip(features, model.coefficients.toArray().tolist()))
+        models[year] = model
+        values[year] = {
+            **{f"_mean_{f}": mean for f, (mean, _) in scaler.items()},
+            **{f"_scale_{f}": scale for f, (_, scale) in scaler.items()},
+            **{f"_coefficient_{f}": coefficient for f, coefficient in coefficients.items()},
+            "_intercept": model.intercept,
+        }
+        fitted[year] = {
+            "scaler_mean": [scaler[f][0] for f in features],
+            "scaler_scale": [scaler[f][1] for f in features],
+            "coefficients": list(coefficients.values()),
+            "intercept": float(model.intercept),
+        }
+    contributions = {
+        f: (F.col(f) - F.col(f"_mean_{f}")) / F.col(f"_scale_{f}") * F.col(f"_coefficient_{f}") for f in features
     }
-    return Scored(rows, name, version, validation_year, split, fitted, model)
+    versions = {year: model_version(name, year, tag) for year in years}
+
+    def probability(total: Column) -> Column:
+        return 1.0 / (1.0 + F.exp(-(total + F.col("_intercept"))))
+
+    valid = _with_year_values(imputed, values)
+    rows = _score_rows(valid, contributions, probability, LOGISTIC_DRIVERS, True, versions)
+    return Scored(rows, name, versions, splits, fitted, models)
 
 
 def stored_scores(scored: DataFrame, predicted_at: dt.datetime) -> DataFrame:
@@ -325,14 +372,14 @@ def stored_scores(scored: DataFrame, predicted_at: dt.datetime) -> DataFrame:
     )
 
 
-def model_metadata(scored: Scored, features: Sequence[str] = FEATURES) -> dict:
-    """What a stored model needs to be understood later."""
-    split = scored.split
+def model_metadata(scored: Scored, year: int, features: Sequence[str] = FEATURES) -> dict:
+    """What the stored model of a year needs to be understood later."""
+    split = scored.splits[year]
     return {
-        "model_version": scored.model_version,
+        "model_version": scored.versions[year],
         "model_name": scored.model_name,
-        "train_end_year": scored.validation_year - 1,
-        "validation_year": scored.validation_year,
+        "train_end_year": year - 1,
+        "validation_year": year,
         "target_column": LABEL,
         "feature_columns": list(features),
         "row_count_train": split.train_rows,
@@ -341,5 +388,5 @@ def model_metadata(scored: Scored, features: Sequence[str] = FEATURES) -> dict:
         "positive_rate_validation": split.valid_positives / split.valid_rows,
         "risk_band_thresholds": {name.lower(): limit for name, limit in BAND_LIMITS.items()},
         "config_version": 1,
-        **scored.fitted,
+        **scored.fitted[year],
     }

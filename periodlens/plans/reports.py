@@ -61,7 +61,7 @@ def kpi_summary(scores: DataFrame) -> DataFrame:
         .groupBy("model_name", "model_version", "period_key", "year", "quarter")
         .agg(
             F.count("*").alias("total_mines_scored"),
-            F.avg("risk_score").alias("avg_risk_score"),
+            (F.sum("risk_score").cast("double") / F.count("risk_score")).alias("avg_risk_score"),
             F.percentile("risk_score", 0.5).alias("median_risk_score"),
             F.max("risk_score").alias("max_risk_score"),
             F.count_if(high).alias("high_risk_mine_count"),
