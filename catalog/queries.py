@@ -186,7 +186,7 @@ def _incident_documents(staged: DataFrame) -> DataFrame:
 def _fact_load(name: str, to_rows: Callable, load: Callable) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         staged = star_tables.load_staged(spark, folder)
-        mines = star_tables.load_facts(spark, folder).mines
+        mines = star_tables.load_mines(spark, folder)
         loaded = load(warehouse.empty_table(spark, name), to_rows(staged[name], mines, EARLY_RUN))
         return _plain(loaded)
 
@@ -282,17 +282,10 @@ def _backtest_results(spark: SparkSession, folder: str) -> DataFrame:
     return pin(warehouse.store_backtest(empty, run.splits, AS_OF), "backtest-result")
 
 
-_RATIOS = (
-    "base_rate", "roc_auc", "pr_auc", "precision_at_top_decile", "recall_at_top_decile", "lift_vs_base_rate",
-    "macro_roc_auc", "macro_pr_auc", "macro_precision_at_top_decile", "macro_recall_at_top_decile",
-    "macro_lift_vs_base_rate", "pooled_base_rate", "pooled_precision_at_top_decile",
-    "pooled_recall_at_top_decile", "pooled_lift_vs_base_rate",
-)
-
-
 def backtest_summary(spark: SparkSession, folder: str) -> DataFrame:
     view = _plain(reports.backtest_summary(_backtest_results(spark, folder)))
-    return view.withColumns({name: F.round(F.col(name), 5) for name in _RATIOS})
+    summed = [name for name, kind in view.dtypes if kind == "double" and name.startswith(("macro_", "pooled_"))]
+    return _rounded(view, *summed)
 
 
 def rolling_backtest(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,7 +312,7 @@ def kpi_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _top_risk(spark: SparkSession, folder: str) -> DataFrame:
-    mines = star_tables.load_facts(spark, folder).mines
+    mines = star_tables.load_mines(spark, folder)
     return reports.top_risk(
         _stored_scores(spark, folder), mines, panel.feature_view(_panel(spark, folder))
     )
@@ -336,7 +329,7 @@ def top_risk_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _detail(spark: SparkSession, folder: str) -> DataFrame:
-    mines = star_tables.load_facts(spark, folder).mines
+    mines = star_tables.load_mines(spark, folder)
     return reports.mine_detail(_stored_scores(spark, folder), mines, _panel(spark, folder))
 
 

@@ -287,7 +287,7 @@ def fit_logistic(
     split: SplitStats,
     c: float = 1.0,
     max_iter: int = 1000,
-    tol: float = 1e-8,
+    tol: float = 1e-7,
 ) -> LogisticRegressionModel:
     """L2-penalised fit with balanced class weights and a free intercept.
 

@@ -11,9 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodlens.functions.period import period_of_date
-from periodlens.functions.text import record_id
-
 
 @dataclass(frozen=True)
 class Facts:
@@ -23,97 +20,89 @@ class Facts:
     violations: DataFrame
 
 
-def _line_id() -> F.Column:
-    names = (
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
-    )
-    cents = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    return record_id(
-        [
-            *[F.col(name) for name in names],
-            F.date_format("l_shipdate", "yyyy-MM-dd"),
-            *[F.col(name).cast("decimal(18,2)") for name in cents],
-        ]
-    )
+# SQL text keeps the driver's plan building short.
+_PERIOD = "concat(year(l_shipdate), 'Q', quarter(l_shipdate))"
+_LINE_ID = """sha2(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
+    date_format(l_shipdate, 'yyyy-MM-dd'), cast(l_quantity AS decimal(18,2)),
+    cast(l_extendedprice AS decimal(18,2)), cast(l_discount AS decimal(18,2)), cast(l_tax AS decimal(18,2))), 256)"""
+
+
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/lineitem.parquet")
 
 
 def load_facts(spark: SparkSession, folder: str) -> Facts:
     """The four tables of the warehouse, in their stored types."""
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    parts = spark.read.parquet(f"{folder}/part.parquet")
-    shipped = F.col("l_shipdate").cast("date")
-    period = period_of_date(shipped)
-    stamp = F.col("l_shipdate").cast("timestamp").alias("load_ts")
-    still_open = F.col("l_linestatus") == "O"
-    returned = F.col("l_returnflag") == "R"
-    employment = lines.where(F.col("l_linestatus") == "F").select(
-        F.col("l_partkey").alias("mine_key"),
-        F.year(shipped).alias("year"),
-        F.quarter(shipped).alias("quarter"),
-        period.alias("period_key"),
-        F.col("l_linenumber").cast("decimal(12,2)").alias("avg_employees"),
-        F.col("l_quantity").cast("decimal(14,2)").alias("employee_hours"),
-        F.col("l_extendedprice").cast("decimal(16,2)").alias("production_volume"),
-        F.col("l_returnflag").alias("production_unit"),
-        _line_id().alias("source_record_id"),
-        stamp,
+    lines = _lines(spark, folder)
+    employment = lines.where("l_linestatus = 'F'").selectExpr(
+        "l_partkey AS mine_key",
+        "year(l_shipdate) AS year",
+        "quarter(l_shipdate) AS quarter",
+        f"{_PERIOD} AS period_key",
+        "cast(l_linenumber AS decimal(12,2)) AS avg_employees",
+        "cast(l_quantity AS decimal(14,2)) AS employee_hours",
+        "cast(l_extendedprice AS decimal(16,2)) AS production_volume",
+        "l_returnflag AS production_unit",
+        f"{_LINE_ID} AS source_record_id",
+        "cast(l_shipdate AS timestamp) AS load_ts",
     )
-    incidents = lines.where(still_open & returned).select(
-        F.col("l_partkey").alias("mine_key"),
-        shipped.alias("incident_date"),
-        period.alias("incident_quarter"),
-        F.lit("returned").alias("incident_type"),
-        F.col("l_linenumber").cast("string").alias("severity_class"),
-        F.greatest(F.col("l_linenumber") - 3, F.lit(0)).cast("int").alias("lost_days"),
-        F.lit(0).alias("days_restricted"),
-        F.col("l_quantity").cast("decimal(14,2)").alias("hours_worked_basis"),
-        _line_id().alias("source_record_id"),
-        stamp,
+    incidents = lines.where("l_linestatus = 'O' AND l_returnflag = 'R'").selectExpr(
+        "l_partkey AS mine_key",
+        "cast(l_shipdate AS date) AS incident_date",
+        f"{_PERIOD} AS incident_quarter",
+        "'returned' AS incident_type",
+        "cast(l_linenumber AS string) AS severity_class",
+        "greatest(l_linenumber - 3, 0) AS lost_days",
+        "0 AS days_restricted",
+        "cast(l_quantity AS decimal(14,2)) AS hours_worked_basis",
+        f"{_LINE_ID} AS source_record_id",
+        "cast(l_shipdate AS timestamp) AS load_ts",
     )
-    violations = lines.where(still_open & ~returned).select(
-        F.col("l_partkey").alias("mine_key"),
-        F.col("l_orderkey").cast("string").alias("inspection_event_no"),
-        shipped.alias("violation_date"),
-        period.alias("violation_quarter"),
-        F.col("l_linenumber").cast("string").alias("section_code"),
-        F.lit(None).cast("string").alias("likelihood_code"),
-        F.lit(None).cast("string").alias("negligence_code"),
-        (F.col("l_discount") > 0.05).alias("significant_substantial"),
-        F.col("l_returnflag").alias("citation_order_flag"),
-        _line_id().alias("source_record_id"),
-        stamp,
+    violations = lines.where("l_linestatus = 'O' AND l_returnflag <> 'R'").selectExpr(
+        "l_partkey AS mine_key",
+        "cast(l_orderkey AS string) AS inspection_event_no",
+        "cast(l_shipdate AS date) AS violation_date",
+        f"{_PERIOD} AS violation_quarter",
+        "cast(l_linenumber AS string) AS section_code",
+        "cast(NULL AS string) AS likelihood_code",
+        "cast(NULL AS string) AS negligence_code",
+        "l_discount > 0.05D AS significant_substantial",
+        "l_returnflag AS citation_order_flag",
+        f"{_LINE_ID} AS source_record_id",
+        "cast(l_shipdate AS timestamp) AS load_ts",
     )
-    mines = parts.select(
-        F.col("p_partkey").alias("mine_key"),
-        F.col("p_partkey").cast("string").alias("mine_id"),
-        F.lit("MSHA").alias("source_system"),
-        F.col("p_name").alias("mine_name"),
-        F.lit("US").alias("country_code"),
-        F.col("p_brand").alias("province_state"),
-        F.col("p_type").alias("commodity_group"),
-        F.col("p_size").cast("string").alias("mine_type"),
-        F.lit(None).cast("decimal(10,6)").alias("latitude"),
-        F.lit(None).cast("decimal(10,6)").alias("longitude"),
-        F.lit(True).alias("active_flag"),
-        F.lit("2001-01-01 00:00:00").cast("timestamp").alias("created_at"),
-        F.lit("2001-01-01 00:00:00").cast("timestamp").alias("updated_at"),
+    return Facts(load_mines(spark, folder), employment, incidents, violations)
+
+
+def load_mines(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/part.parquet").selectExpr(
+        "p_partkey AS mine_key",
+        "cast(p_partkey AS string) AS mine_id",
+        "'MSHA' AS source_system",
+        "p_name AS mine_name",
+        "'US' AS country_code",
+        "p_brand AS province_state",
+        "p_type AS commodity_group",
+        "cast(p_size AS string) AS mine_type",
+        "cast(NULL AS decimal(10,6)) AS latitude",
+        "cast(NULL AS decimal(10,6)) AS longitude",
+        "true AS active_flag",
+        "timestamp '2001-01-01 00:00:00' AS created_at",
+        "timestamp '2001-01-01 00:00:00' AS updated_at",
     )
-    return Facts(mines, employment, incidents, violations)
 
 
 def load_assessed(spark: SparkSession, folder: str) -> DataFrame:
     """Assessed violations: open, unreturned lines with a high discount."""
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    shipped = F.col("l_shipdate").cast("date")
-    assessed = lines.where((F.col("l_linestatus") == "O") & (F.col("l_returnflag") != "R"))
-    return assessed.where("l_discount > 0.05").select(
-        F.col("l_partkey").alias("mine_key"),
-        shipped.alias("assessed_date"),
-        period_of_date(shipped).alias("assessed_quarter"),
-        F.col("l_extendedprice").cast("decimal(14,2)").alias("proposed_penalty_amount"),
-        F.when(F.col("l_returnflag") == "N", F.col("l_quantity").cast("decimal(14,2)")).alias("assessment_amount"),
-        F.col("l_orderkey").cast("string").alias("violation_reference_raw"),
-        _line_id().alias("source_record_id"),
+    open_lines = _lines(spark, folder).where("l_linestatus = 'O' AND l_returnflag <> 'R'")
+    return open_lines.where("l_discount > 0.05D").selectExpr(
+        "l_partkey AS mine_key",
+        "cast(l_shipdate AS date) AS assessed_date",
+        f"{_PERIOD} AS assessed_quarter",
+        "cast(l_extendedprice AS decimal(14,2)) AS proposed_penalty_amount",
+        "if(l_returnflag = 'N', cast(l_quantity AS decimal(14,2)), NULL) AS assessment_amount",
+        "cast(l_orderkey AS string) AS violation_reference_raw",
+        f"{_LINE_ID} AS source_record_id",
     )
 
 
@@ -143,7 +132,7 @@ def _money(name: str) -> F.Column:
 def raw_texts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Untidy text rows for the five raw files, bad rows included."""
     parts = spark.read.parquet(f"{folder}/part.parquet")
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    lines = _lines(spark, folder)
     shipped = F.col("l_shipdate").cast("date")
     number = F.col("l_linenumber")
     mixed_date = (
@@ -180,7 +169,7 @@ def raw_texts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.col("l_returnflag").alias("PROD_UNIT"),
         ),
         "msha_incidents": lines.where(still_open & returned).select(
-            _line_id().alias("DOCUMENT_NO"),
+            F.expr(_LINE_ID).alias("DOCUMENT_NO"),
             F.col("l_partkey").alias("MINE_ID"),
             mixed_date.alias("ACCIDENT_DT"),
             F.lit('slip "or" fall').alias("ACCIDENT_TYPE"),
