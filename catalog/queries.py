@@ -57,8 +57,8 @@ def _rule_scores(spark: SparkSession, folder: str, training: DataFrame | None =
     return scoring.score_rule(training, YEARS).rows
 
 
-def _stored_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return pin(scoring.stored_scores(_rule_scores(spark, folder), AS_OF), "stored-scores")
+def _stored_scores(spark: SparkSession, folder: str, training: DataFrame | None = None) -> DataFrame:
+    return pin(scoring.stored_scores(_rule_scores(spark, folder, training), AS_OF), "stored-scores")
 
 
 # --- panel -----------------------------------------------------------------
@@ -313,9 +313,8 @@ def kpi_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 def _top_risk(spark: SparkSession, folder: str) -> DataFrame:
     mines = star_tables.load_mines(spark, folder)
-    return reports.top_risk(
-        _stored_scores(spark, folder), mines, panel.feature_view(_panel(spark, folder))
-    )
+    features = pin(panel.feature_view(_panel(spark, folder)), "features")
+    return reports.top_risk(_stored_scores(spark, folder, panel.training_view(features)), mines, features)
 
 
 def top_risk(spark: SparkSession, folder: str) -> DataFrame:
@@ -330,7 +329,8 @@ def top_risk_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 def _detail(spark: SparkSession, folder: str) -> DataFrame:
     mines = star_tables.load_mines(spark, folder)
-    return reports.mine_detail(_stored_scores(spark, folder), mines, _panel(spark, folder))
+    whole = pin(_panel(spark, folder), "panel")
+    return reports.mine_detail(_stored_scores(spark, folder, panel.training_view(whole)), mines, whole)
 
 
 def entity_detail(spark: SparkSession, folder: str) -> DataFrame:
