@@ -1,6 +1,7 @@
 """Data-quality checks and table constraints as counts of violating rows.
 
-As in SQL, a predicate that is NULL is not a violation.
+Rules are SQL predicates that describe a bad row. As in SQL, a predicate that
+is NULL is not a violation.
 """
 
 from __future__ import annotations
@@ -9,45 +10,44 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from periodlens.functions.period import PERIOD_PATTERN, period_key
+from periodlens.functions.period import PERIOD_PATTERN
 from periodlens.operators.panel import LABEL
 
-RISK_BANDS = ("Low", "Medium", "High", "Critical")
+BANDS = "('Low', 'Medium', 'High', 'Critical')"
+WRONG_PERIOD = "period_key <> concat(year, 'Q', quarter)"
+NULL_KEYS = "mine_key IS NULL OR period_key IS NULL"
+NULL_SCORE_KEYS = f"{NULL_KEYS} OR model_version IS NULL"
 
 
 def count_violations(
     df: DataFrame,
-    rules: Mapping[str, Column],
+    rules: Mapping[str, str],
     unique: Mapping[str, Sequence[str]] | None = None,
-    statistics: Mapping[str, Column] | None = None,
+    statistics: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One row per check: ``test_name``, ``failure_count``, ``is_statistic``.
 
     Row rules and statistics take one pass. Each uniqueness check adds an
     aggregation on its key, with copies collapsed before the shuffle.
     """
-    statistics = dict(statistics or {})
+    statistics = statistics or {}
     named = {**rules, **statistics}
     parts = []
     if named:
-        counted = df.agg(*[F.count_if(rule).alias(name) for name, rule in named.items()])
+        counted = df.agg(*[F.expr(f"count_if({rule}) AS {name}") for name, rule in named.items()])
         entries = [
-            F.struct(
-                F.lit(name).alias("test_name"),
-                F.col(name).alias("failure_count"),
-                F.lit(name in statistics).alias("is_statistic"),
-            )
+            f"struct('{name}' AS test_name, {name} AS failure_count, {str(name in statistics).lower()} AS is_statistic)"
             for name in named
         ]
-        parts.append(counted.select(F.inline(F.array(*entries))))
+        parts.append(counted.selectExpr(f"inline(array({', '.join(entries)}))"))
     for name, keys in (unique or {}).items():
-        copies = df.groupBy(*keys).agg(F.count("*").alias("copies"))
+        copies = df.groupBy(*keys).agg(F.expr("count(*) AS copies"))
         parts.append(
-            copies.agg(F.count_if(F.col("copies") > 1).alias("failure_count")).select(
-                F.lit(name).alias("test_name"), "failure_count", F.lit(False).alias("is_statistic")
+            copies.agg(F.expr("count_if(copies > 1) AS failure_count")).selectExpr(
+                f"'{name}' AS test_name", "failure_count", "false AS is_statistic"
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -55,9 +55,9 @@ def count_violations(
 
 def row_count_delta(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` minus rows of ``right`` as one check row."""
-    sides = left.select(F.lit(1).alias("side")).unionByName(right.select(F.lit(-1).alias("side")))
-    return sides.agg(F.coalesce(F.sum("side"), F.lit(0)).alias("failure_count")).select(
-        F.lit(name).alias("test_name"), "failure_count", F.lit(False).alias("is_statistic")
+    sides = left.selectExpr("1 AS side").unionByName(right.selectExpr("-1 AS side"))
+    return sides.agg(F.expr("coalesce(sum(side), 0) AS failure_count")).selectExpr(
+        f"'{name}' AS test_name", "failure_count", "false AS is_statistic"
     )
 
 
@@ -65,35 +65,35 @@ def base_checks(base: DataFrame) -> DataFrame:
     return count_violations(
         base,
         {
-            "null_grain": F.col("mine_key").isNull() | F.col("period_key").isNull(),
-            "invalid_quarter": ~F.col("quarter").isin(1, 2, 3, 4),
-            "period_mismatch": F.col("period_key") != period_key(F.col("year"), F.col("quarter")),
-            "negative_denominator": (F.col("avg_employees") < 0)
-            | (F.col("employee_hours") < 0)
-            | (F.col("production_volume") < 0),
+            "null_grain": NULL_KEYS,
+            "invalid_quarter": "quarter NOT IN (1, 2, 3, 4)",
+            "period_mismatch": WRONG_PERIOD,
+            "negative_denominator": "avg_employees < 0 OR employee_hours < 0 OR production_volume < 0",
         },
         {"duplicate_grain": ["mine_key", "period_key"]},
-        {"row_count": F.lit(True)},
+        {"row_count": "true"},
     )
 
 
 def label_checks(labels: DataFrame, base: DataFrame) -> DataFrame:
-    label, exists = F.col(LABEL), F.col("next_quarter_exists_flag")
-    next_count = F.coalesce(F.col("next_quarter_incident_count"), F.lit(0))
+    exists, count = "next_quarter_exists_flag", "coalesce(next_quarter_incident_count, 0)"
     return count_violations(
         labels,
         {
-            "null_keys": F.col("mine_key").isNull() | F.col("period_key").isNull(),
-            "invalid_label_values": ~label.isin(0, 1),
-            "invalid_exists_flag": ~exists.isin(0, 1),
-            "missing_next_but_nonnull_label": (exists == 0) & label.isNotNull(),
-            "positive_logic_mismatch": (exists == 1) & (next_count >= 1) & (label != 1),
-            "negative_logic_mismatch": (exists == 1) & (next_count == 0) & (label != 0),
-            "invalid_next_period_key": F.col("next_period_key").isNull()
-            | ~F.col("next_period_key").rlike(PERIOD_PATTERN),
+            "null_keys": NULL_KEYS,
+            "invalid_label_values": f"{LABEL} NOT IN (0, 1)",
+            "invalid_exists_flag": f"{exists} NOT IN (0, 1)",
+            "missing_next_but_nonnull_label": f"{exists} = 0 AND {LABEL} IS NOT NULL",
+            "positive_logic_mismatch": f"{exists} = 1 AND {count} >= 1 AND {LABEL} <> 1",
+            "negative_logic_mismatch": f"{exists} = 1 AND {count} = 0 AND {LABEL} <> 0",
+            "invalid_next_period_key": f"next_period_key IS NULL OR NOT next_period_key RLIKE '{PERIOD_PATTERN}'",
         },
         {"duplicate_grain": ["mine_key", "period_key"]},
-        {"label_null_count": label.isNull(), "label_zero_count": label == 0, "label_one_count": label == 1},
+        {
+            "label_null_count": f"{LABEL} IS NULL",
+            "label_zero_count": f"{LABEL} = 0",
+            "label_one_count": f"{LABEL} = 1",
+        },
     ).unionByName(row_count_delta("row_count_delta_vs_base", base, labels))
 
 
@@ -101,38 +101,31 @@ def feature_checks(features: DataFrame, labels: DataFrame, training: DataFrame)
     checks = count_violations(
         features,
         {
-            "null_keys": F.col("mine_key").isNull() | F.col("period_key").isNull(),
-            "negative_rolling_counts": F.col("feat_rolling_4q_incident_count") < 0,
-            "prior_incident_mismatch": ~F.col("feat_prior_incident_count").eqNullSafe(
-                F.col("incident_count_prior_qtr")
-            ),
+            "null_keys": NULL_KEYS,
+            "negative_rolling_counts": "feat_rolling_4q_incident_count < 0",
+            "prior_incident_mismatch": "NOT feat_prior_incident_count <=> incident_count_prior_qtr",
         },
         {"duplicate_grain": ["mine_key", "period_key"]},
-        {"feature_row_count": F.lit(True)},
+        {"feature_row_count": "true"},
     )
     trained = count_violations(
-        training,
-        {"training_null_label_count": F.col(LABEL).isNull()},
-        statistics={"training_row_count": F.lit(True)},
+        training, {"training_null_label_count": f"{LABEL} IS NULL"}, statistics={"training_row_count": "true"}
     )
     return checks.unionByName(trained).unionByName(row_count_delta("row_count_delta_vs_labels", labels, features))
 
 
 def score_checks(scored: DataFrame) -> DataFrame:
     """Checks on freshly scored rows, before they are stored."""
-    score = F.col("risk_score")
     return count_violations(
         scored,
         {
-            "null_score": score.isNull(),
-            "score_out_of_range": (score < 0) | (score > 1),
-            "invalid_band": ~F.coalesce(F.col("risk_band").isin(*RISK_BANDS), F.lit(False)),
-            "null_identifiers": F.col("mine_key").isNull()
-            | F.col("period_key").isNull()
-            | F.col("model_version").isNull(),
-            "missing_top_driver_1": F.col("top_driver_1").isNull(),
+            "null_score": "risk_score IS NULL",
+            "score_out_of_range": "risk_score < 0 OR risk_score > 1",
+            "invalid_band": f"risk_band IS NULL OR risk_band NOT IN {BANDS}",
+            "null_identifiers": NULL_SCORE_KEYS,
+            "missing_top_driver_1": "top_driver_1 IS NULL",
         },
-        statistics={"row_count": F.lit(True)},
+        statistics={"row_count": "true"},
     )
 
 
@@ -145,16 +138,14 @@ def stored_score_count(scores: DataFrame, training: DataFrame, model_version: st
 
 def backtest_checks(scored: DataFrame, validation_years: Sequence[int]) -> DataFrame:
     """Checks on the input of the backtest metrics."""
-    score, label = F.col("risk_score"), F.col("label_next_period")
+    years = ", ".join(str(int(year)) for year in validation_years)
     return count_violations(
         scored,
         {
-            "unexpected_year": ~F.coalesce(F.col("year").isin(*validation_years), F.lit(False)),
-            "null_identifiers": F.col("mine_key").isNull()
-            | F.col("period_key").isNull()
-            | F.col("model_version").isNull(),
-            "invalid_score": score.isNull() | (score < 0) | (score > 1),
-            "invalid_label": ~F.coalesce(label.isin(0, 1), F.lit(False)),
+            "unexpected_year": f"year IS NULL OR year NOT IN ({years})",
+            "null_backtest_identifiers": NULL_SCORE_KEYS,
+            "invalid_score": "risk_score IS NULL OR risk_score < 0 OR risk_score > 1",
+            "invalid_label": "label_next_period IS NULL OR label_next_period NOT IN (0, 1)",
         },
     )
 
@@ -182,95 +173,93 @@ def quality_results(checks: DataFrame, run_id: str, entity_name: str, checked_at
     )
 
 
-def _not_null(*names: str) -> dict[str, Column]:
-    return {f"null_{name}": F.col(name).isNull() for name in names}
+def _not_null(*names: str) -> dict[str, str]:
+    return {f"null_{name}": f"{name} IS NULL" for name in names}
 
 
-def _non_negative(*names: str) -> dict[str, Column]:
-    return {f"negative_{name}": F.col(name) < 0 for name in names}
+def _non_negative(*names: str) -> dict[str, str]:
+    return {f"negative_{name}": f"{name} < 0" for name in names}
 
 
-def _bad_period(name: str) -> dict[str, Column]:
-    return {f"invalid_{name}": ~F.col(name).rlike(PERIOD_PATTERN)}
+def _valid_period(name: str) -> dict[str, str]:
+    return {f"invalid_{name}": f"NOT {name} RLIKE '{PERIOD_PATTERN}'"}
 
 
-def constraint_rules(table: str) -> tuple[dict[str, Column], dict[str, list[str]]]:
-    """Row rules and unique keys that a stored table has to satisfy."""
-    rules: dict[str, tuple[dict[str, Column], dict[str, list[str]]]] = {
-        "mine": (_not_null("mine_id", "source_system"), {"duplicate_key": ["mine_id", "source_system"]}),
-        "incident": (
-            {
-                **_not_null("mine_key", "incident_date", "incident_quarter", "source_record_id"),
-                **_non_negative("lost_days", "days_restricted", "hours_worked_basis"),
-                **_bad_period("incident_quarter"),
-            },
-            {"duplicate_key": ["source_record_id"]},
-        ),
-        "violation": (
-            {
-                **_not_null("mine_key", "violation_date", "violation_quarter", "source_record_id"),
-                **_bad_period("violation_quarter"),
-            },
-            {"duplicate_key": ["source_record_id"]},
-        ),
-        "assessed_violation": (
-            {
-                **_not_null("mine_key", "source_record_id"),
-                **_non_negative("penalty_amount"),
-                **_bad_period("assessed_quarter"),
-            },
-            {"duplicate_key": ["source_record_id"]},
-        ),
-        "employment": (
-            {
-                **_not_null("mine_key", "year", "quarter", "period_key", "source_record_id"),
-                **_non_negative("avg_employees", "employee_hours", "production_volume"),
-                "invalid_quarter": ~F.col("quarter").isin(1, 2, 3, 4),
-                "invalid_year": ~F.col("year").between(2000, 2100),
-                "period_mismatch": F.col("period_key") != period_key(F.col("year"), F.col("quarter")),
-            },
-            {"duplicate_key": ["mine_key", "year", "quarter", "source_record_id"]},
-        ),
-        "quality_result": (
-            {
-                **_not_null("run_id", "test_name", "entity_name", "status", "checked_at"),
-                **_non_negative("failure_count"),
-                "invalid_status": ~F.col("status").isin("PASS", "FAIL", "WARN"),
-                "invalid_severity": ~F.col("severity").isin("LOW", "MEDIUM", "HIGH", "CRITICAL"),
-            },
-            {},
-        ),
-        "risk_score": (
-            {
-                **_not_null("mine_key", "period_key", "model_version", "risk_score", "risk_band"),
-                **_bad_period("period_key"),
-                "score_out_of_range": ~F.col("risk_score").between(0, 1),
-                "invalid_band": ~F.col("risk_band").isin(*RISK_BANDS),
-                "invalid_label": ~F.col("label_next_period").isin(0, 1),
-            },
-            {"duplicate_key": ["mine_key", "period_key", "model_version"]},
-        ),
-        "backtest_result": (
-            _not_null(
-                "backtest_run_id",
-                "model_name",
-                "model_version",
-                "train_start_year",
-                "train_end_year",
-                "validation_year",
-                "n_train_rows",
-                "n_validation_rows",
-                "top_decile_size",
-            ),
-            {"duplicate_key": ["model_version", "validation_year"]},
+# Row rules and unique keys of each stored table.
+CONSTRAINTS: dict[str, tuple[dict[str, str], dict[str, list[str]]]] = {
+    "mine": (_not_null("mine_id", "source_system"), {"duplicate_key": ["mine_id", "source_system"]}),
+    "incident": (
+        {
+            **_not_null("mine_key", "incident_date", "incident_quarter", "source_record_id"),
+            **_non_negative("lost_days", "days_restricted", "hours_worked_basis"),
+            **_valid_period("incident_quarter"),
+        },
+        {"duplicate_key": ["source_record_id"]},
+    ),
+    "violation": (
+        {
+            **_not_null("mine_key", "violation_date", "violation_quarter", "source_record_id"),
+            **_valid_period("violation_quarter"),
+        },
+        {"duplicate_key": ["source_record_id"]},
+    ),
+    "assessed_violation": (
+        {
+            **_not_null("mine_key", "source_record_id"),
+            **_non_negative("penalty_amount"),
+            **_valid_period("assessed_quarter"),
+        },
+        {"duplicate_key": ["source_record_id"]},
+    ),
+    "employment": (
+        {
+            **_not_null("mine_key", "year", "quarter", "period_key", "source_record_id"),
+            **_non_negative("avg_employees", "employee_hours", "production_volume"),
+            "invalid_quarter": "quarter NOT IN (1, 2, 3, 4)",
+            "invalid_year": "year NOT BETWEEN 2000 AND 2100",
+            "period_mismatch": WRONG_PERIOD,
+        },
+        {"duplicate_key": ["mine_key", "year", "quarter", "source_record_id"]},
+    ),
+    "quality_result": (
+        {
+            **_not_null("run_id", "test_name", "entity_name", "status", "checked_at"),
+            **_non_negative("failure_count"),
+            "invalid_status": "status NOT IN ('PASS', 'FAIL', 'WARN')",
+            "invalid_severity": "severity NOT IN ('LOW', 'MEDIUM', 'HIGH', 'CRITICAL')",
+        },
+        {},
+    ),
+    "risk_score": (
+        {
+            **_not_null("mine_key", "period_key", "model_version", "risk_score", "risk_band"),
+            **_valid_period("period_key"),
+            "score_out_of_range": "risk_score NOT BETWEEN 0 AND 1",
+            "invalid_band": f"risk_band NOT IN {BANDS}",
+            "invalid_label": "label_next_period NOT IN (0, 1)",
+        },
+        {"duplicate_key": ["mine_key", "period_key", "model_version"]},
+    ),
+    "backtest_result": (
+        _not_null(
+            "backtest_run_id",
+            "model_name",
+            "model_version",
+            "train_start_year",
+            "train_end_year",
+            "validation_year",
+            "n_train_rows",
+            "n_validation_rows",
+            "top_decile_size",
         ),
-    }
-    return rules[table]
+        {"duplicate_key": ["model_version", "validation_year"]},
+    ),
+}
 
 
 def constraint_report(df: DataFrame, table: str, mines: DataFrame | None = None) -> DataFrame:
     """Violations of a table's constraints; with ``mines`` also unknown keys."""
-    rules, unique = constraint_rules(table)
+    rules, unique = CONSTRAINTS[table]
     report = count_violations(df, rules, unique)
     if mines is None:
         return report

@@ -37,7 +37,8 @@ def _with_slice_totals(
     """Join to each row what its group holds in earlier slices and in all.
 
     One row per (slice, group): at most slices + groups rows, and at most one
-    per slice in each window here.
+    per slice in each window here. They are pinned, so the join back is a
+    broadcast while they are small and a shuffle on (slice, group) beyond.
     """
     earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
@@ -59,6 +60,7 @@ def _with_slice_totals(
             )
         ],
     )
+    slices = pin(slices, "slices")
     condition = F.col("_slice") == F.col("_slice_no")
     for group, alias in renamed.items():
         condition = condition & F.col(group).eqNullSafe(F.col(alias))

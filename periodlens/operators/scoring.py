@@ -173,12 +173,15 @@ def top_drivers(
 def _with_year_values(training: DataFrame, values: Mapping[int, Mapping[str, float]]) -> DataFrame:
     """Rows of the validation years with the fitted values of their year.
 
-    The values are a few numbers per feature and year, held by the driver.
+    The values are a few numbers per feature and year, listed by the driver, so
+    their broadcast does not grow with the data. A shuffle by year would put
+    all rows into a handful of tasks.
     """
     names = sorted({name for fitted in values.values() for name in fitted})
     schema = ", ".join(["year int", *[f"`{name}` double" for name in names]])
     rows = [(year, *[float(fitted[name]) for name in names]) for year, fitted in values.items()]
-    return training.join(training.sparkSession.createDataFrame(rows, schema), "year")
+    fitted = training.sparkSession.createDataFrame(rows, schema)
+    return training.where(F.col("year").isin(*values)).join(F.broadcast(fitted), "year")
 
 
 def _score_rows(

@@ -16,6 +16,7 @@ from periodlens.operators.metrics import model_summary
 from periodlens.operators.ordering import rank_rows
 from periodlens.operators.panel import FEATURES, LABEL
 from periodlens.operators.scoring import DRIVER_COLUMNS
+from periodlens.session import pin
 
 MINE_COLUMNS = ("mine_id", "mine_name", "country_code", "province_state", "commodity_group", "mine_type")
 
@@ -150,11 +151,8 @@ def top_risk(
         "violation_count_current_qtr",
         LABEL,
     )
-    latest = (
-        _scored(scores)
-        .groupBy("model_version")
-        .agg(F.max(period_sort(F.col("year"), F.col("quarter"))).alias("_latest"))
-    )
+    periods = _scored(scores).groupBy("model_version")
+    latest = pin(periods.agg(F.max(period_sort(F.col("year"), F.col("quarter"))).alias("_latest")), "latest")
     joined = (
         _scored(ranked)
         .join(latest, "model_version", "left")

@@ -25,7 +25,8 @@ def get_session(app_name: str = "periodlens", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Recording the Python call site of every column doubles the time to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -59,7 +60,9 @@ def pin(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage so that a lost executor cannot change values that are not
     reproducible on a second run (row positions after a range sort), and lets
-    later steps read only the columns they need.
+    later steps read only the columns they need. It also gives the optimizer
+    the true size, so a pinned side of a join is broadcast if and only if it
+    is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
     path = f"{_pin_root(spark)}/{label}-{uuid.uuid4().hex}"
