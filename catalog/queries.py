@@ -239,6 +239,16 @@ def rule_scores(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(scores, "risk_score")
 
 
+def score_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """A later run scores its last year again and adds one."""
+    scores = _stored_scores(spark, folder)
+    year = period_year(F.col("period_key"))
+    empty = warehouse.empty_table(spark, "risk_score")
+    first = pin(warehouse.store_scores(empty, scores.where(year <= YEARS[1]), EARLY_RUN), "risk-score")
+    again = scores.where(year >= YEARS[1]).withColumn("top_driver_3", F.lit(None).cast("string"))
+    return _plain(warehouse.store_scores(first, again, LATE_RUN))
+
+
 def rule_drivers(spark: SparkSession, folder: str) -> DataFrame:
     return _rule_scores(spark, folder).select("mine_key", "period_key", "model_version", *scoring.DRIVER_COLUMNS)
 
@@ -508,6 +518,7 @@ def queries() -> dict[str, Query]:
         "rule_bounds": rule_bounds,
         "rule_scores": rule_scores,
         "rule_drivers": rule_drivers,
+        "score_upsert": score_upsert,
         "logistic_scores": logistic_scores,
         "score_ranks": score_ranks,
         "topk_metrics": topk_metrics,

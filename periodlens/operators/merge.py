@@ -7,6 +7,8 @@ to a new version (see ``sources.tables``), never over the files being read.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,24 +81,24 @@ def upsert(
     ``on_update`` give the remaining columns of new and of changed rows.
     """
     on_insert, on_update = dict(on_insert or {}), dict(on_update or {})
-    old = target.select(F.struct(*target.columns).alias("old"), *[F.col(k).alias(f"_{k}") for k in keys])
-    new = incoming.select(F.struct(*incoming.columns).alias("new"), *[F.col(k).alias(f"_{k}") for k in keys])
-    merged = old.join(new, [f"_{k}" for k in keys], "full_outer")
-    matched = F.col("old").isNotNull() & F.col("new").isNotNull()
-    columns = []
+    changes = incoming.select(
+        F.struct(*incoming.columns).alias("_new"), *[F.col(k).alias(f"_key_{k}") for k in keys]
+    )
+    matches = reduce(and_, [F.col(k) == F.col(f"_key_{k}") for k in keys])
+    is_changed = F.col("_new").isNotNull()
+    replaced, added = [], []
     for field in target.schema.fields:
-        name = field.name
-        kept = F.col(f"old.{name}")
-        null = F.lit(None).cast(field.dataType)
+        name, kind = field.name, field.dataType
         if name in incoming.columns:
-            changed = added = F.col(f"new.{name}")
+            old = F.when(is_changed, F.col(f"_new.{name}")).otherwise(F.col(name))
+            fresh = F.col(name)
         else:
-            changed = on_update.get(name, kept)
-            added = on_insert.get(name, null)
-        value = F.when(F.col("old").isNull(), added).when(matched, changed).otherwise(kept)
-        columns.append(value.cast(field.dataType).alias(name))
-    if not surrogate:
-        return merged.select(*columns)
-    full = merged.select(*columns, F.col("old").isNull().alias("_is_new"))
-    fresh = _number_new_rows(target, full.where("_is_new").drop(surrogate), surrogate, keys)
-    return full.where("NOT _is_new").unionByName(fresh).drop("_is_new")
+            old = F.when(is_changed, on_update.get(name, F.col(name))).otherwise(F.col(name))
+            fresh = on_insert.get(name, F.lit(None))
+        replaced.append(old.cast(kind).alias(name))
+        added.append(fresh.cast(kind).alias(name))
+    known = target.join(changes, matches, "left").select(*replaced)
+    new = incoming.join(target.select(*keys), list(keys), "left_anti").select(*added)
+    if surrogate:
+        new = _number_new_rows(target, new.drop(surrogate), surrogate, keys)
+    return known.unionByName(new)
