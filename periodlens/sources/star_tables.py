@@ -112,11 +112,15 @@ def load_staged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     key = F.col("mine_key").cast("string").alias("mine_id")
     return {
         "mine": facts.mines.drop("mine_key"),
-        "employment": facts.employment.select("*", key).drop("mine_key").withColumnRenamed("production_unit", "production_unit_raw"),
+        "employment": facts.employment.select("*", key)
+        .drop("mine_key")
+        .withColumnRenamed("production_unit", "production_unit_raw"),
         "incident": facts.incidents.select("*", key).drop("mine_key").withColumnsRenamed(
             {"incident_type": "incident_type_raw", "severity_class": "severity_class_raw"}
         ),
-        "violation": facts.violations.select("*", key).drop("mine_key").withColumnRenamed("inspection_event_no", "event_number"),
+        "violation": facts.violations.select("*", key)
+        .drop("mine_key")
+        .withColumnRenamed("inspection_event_no", "event_number"),
         "assessed_violation": load_assessed(spark, folder).select("*", key).drop("mine_key"),
     }
 

@@ -5,12 +5,6 @@ from pyspark.sql import functions as F
 
 from periodlens.operators import checks, panel
 
-EMPLOYMENT = (
-    "mine_key long, period_key string, year int, quarter int, avg_employees decimal(12,2), "
-    "employee_hours decimal(14,2), production_volume decimal(16,2), production_unit string"
-)
-
-
 def facts(spark, spine, incidents, violations):
     rows = [(k, p, int(p[:4]), int(p[5]), 1, h, v, "t") for k, p, h, v in spine]
     employment = spark.createDataFrame(
