@@ -11,9 +11,9 @@ entry = importlib.import_module("__spark_entry__")
 
 
 def test_sql_keys_are_registered():
-    registered = entry.queries()
-    assert set(entry.oracle_sql()) <= set(registered)
-    assert set(registered) - set(entry.oracle_sql()) == {"logistic_scores", "rolling_backtest"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    registered, sql = entry.registered.queries(), entry.oracle.oracle_sql()
+    assert set(registered) - set(sql) == {"logistic_scores", "rolling_backtest"}
 
 
 def test_no_machine_local_tricks_in_the_library():
