@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import language_id
+from periodlens.llm import language_id, mixing
 from periodlens.llm.common import held_out, read_table
 
 
@@ -18,11 +18,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mixture to target weights takes of every document."""
+    mixture = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixing.taken_words(mixture).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op6_mixing": op6_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_mixing": mixing.oracle_sql()}
