@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import language_id, mixing
+from periodlens.llm import language_id, mixing, near_dedup
 from periodlens.llm.common import held_out, read_table
 
 
@@ -24,10 +24,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixture).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: five-word shingles, similarity 0.75 or more."""
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op6_mixing": op6_mixing,
+        "op9_near_dedup": op9_near_dedup,
     }
 
 
