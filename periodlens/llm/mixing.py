@@ -27,7 +27,7 @@ from periodlens.session import pin
 
 PRIME = 2_147_483_647
 ROUNDS = 10
-_CHUNK = 1 << 14
+_CHUNK = 1 << 13
 
 
 def scramble(a: Column, b: Column | int) -> Column:
@@ -38,22 +38,20 @@ def scramble(a: Column, b: Column | int) -> Column:
     return (second * 950_706_376 + first) % PRIME
 
 
-def permute(position: Column, blocks: Column, key: Column) -> Column:
-    """Image of ``position`` under a permutation of 0 .. blocks - 1 chosen by ``key``.
+def permute(df: DataFrame, position: Column, blocks: str, key: str, name: str) -> DataFrame:
+    """Add the image of ``position`` under a permutation of 0 .. blocks - 1 chosen by ``key``.
 
     In each round a position may swap with its mirror image about a random
     point, as a hash of the larger of the two decides: a bijection for any
-    number of blocks.
+    number of blocks. A round is a projection, so all rounds are compiled.
     """
-
-    def step(x: Column, turn: Column) -> Column:
-        point = F.pmod(scramble(key, turn) * PRIME + scramble(key, turn + 1000), blocks)
-        other = F.pmod(point - x, blocks)
-        coin = scramble(F.greatest(x, other), key * 64 + turn).bitwiseAND(F.lit(65_536))
-        return F.when(coin == 0, x).otherwise(other)
-
-    rounds = F.array(*[F.lit(i).cast("long") for i in range(ROUNDS)])
-    return F.aggregate(rounds, position.cast("long"), step)
+    x, other = F.col(name), F.col("_mirror")
+    df = df.withColumn(name, position.cast("long"))
+    for turn in range(ROUNDS):
+        point = F.pmod(scramble(F.col(key), turn) * PRIME + scramble(F.col(key), turn + 1000), F.col(blocks))
+        coin = scramble(F.greatest(x, other), F.col(key) * 64 + turn).bitwiseAND(F.lit(65_536))
+        df = df.withColumn("_mirror", F.pmod(point - x, F.col(blocks))).withColumn(name, F.when(coin == 0, x).otherwise(other))
+    return df.drop("_mirror")
 
 
 @dataclass
@@ -158,19 +156,16 @@ def mix(
     used = (
         sources.where(F.col("slots") > 0)
         .select("source_key", "blocks", "slots", F.explode(F.sequence(F.lit(0), F.col("slots") - 1, F.lit(_CHUNK))).alias("low"))
-        .repartition("source_key", "low")
+        # The number is given, or the few short rows would be put into one task before they unfold.
+        .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_key", "low")
         .select(
             "source_key",
             "blocks",
             F.explode(F.sequence("low", F.least(F.col("low") + _CHUNK, "slots") - 1)).alias("slot"),
         )
-        .select(
-            "source_key",
-            "slot",
-            permute(F.col("slot") % F.col("blocks"), F.col("blocks"), F.col("source_key")).alias("block"),
-            F.pmod(scramble(F.col("slot"), F.col("source_key") + 77_777), F.lit(shards)).alias("shard"),
-        )
+        .withColumn("shard", F.pmod(scramble(F.col("slot"), F.col("source_key") + 77_777), F.lit(shards)))
     )
+    used = permute(used, F.col("slot") % F.col("blocks"), "blocks", "source_key", "block").drop("blocks")
     return Mixture(documents, sources, parts.join(used, ["source_key", "block"], "left"))
 
 
