@@ -38,20 +38,33 @@ def scramble(a: Column, b: Column | int) -> Column:
     return (second * 950_706_376 + first) % PRIME
 
 
-def permute(df: DataFrame, position: Column, blocks: str, key: str, name: str) -> DataFrame:
-    """Add the image of ``position`` under a permutation of 0 .. blocks - 1 chosen by ``key``.
+def permutation_rounds(blocks: Column, key: Column) -> Column:
+    """The random numbers of a permutation: a point in 0 .. blocks - 1 and a constant for each round."""
+    return F.array(
+        *[
+            F.struct(
+                F.pmod(scramble(key, turn) * PRIME + scramble(key, turn + 1000), blocks).alias("point"),
+                scramble(key, turn + 2000).alias("constant"),
+            )
+            for turn in range(ROUNDS)
+        ]
+    )
+
 
-    In each round a position may swap with its mirror image about a random
-    point, as a hash of the larger of the two decides: a bijection for any
-    number of blocks. A round is a projection, so all rounds are compiled.
+def permute(position: Column, blocks: Column, rounds: Column) -> Column:
+    """Image of ``position`` under the permutation of 0 .. blocks - 1 that ``rounds`` describes.
+
+    In each round a position may swap with its mirror image about the point,
+    as a hash of the larger of the two decides: a bijection for any number of
+    blocks.
     """
-    x, other = F.col(name), F.col("_mirror")
-    df = df.withColumn(name, position.cast("long"))
-    for turn in range(ROUNDS):
-        point = F.pmod(scramble(F.col(key), turn) * PRIME + scramble(F.col(key), turn + 1000), F.col(blocks))
-        coin = scramble(F.greatest(x, other), F.col(key) * 64 + turn).bitwiseAND(F.lit(65_536))
-        df = df.withColumn("_mirror", F.pmod(point - x, F.col(blocks))).withColumn(name, F.when(coin == 0, x).otherwise(other))
-    return df.drop("_mirror")
+
+    def step(x: Column, turn: Column) -> Column:
+        other = F.pmod(turn["point"] - x, blocks)
+        mixed = (F.greatest(x, other) % PRIME * 48_271 + turn["constant"]) % PRIME * 630_360_016 % PRIME
+        return F.when(mixed.bitwiseAND(F.lit(65_536)) == 0, x).otherwise(other)
+
+    return F.aggregate(rounds, position.cast("long"), step)
 
 
 @dataclass
@@ -125,7 +138,7 @@ def mix(
     sources = pin(
         source_targets(sizes, weights, share, most).withColumns(
             {"blocks": blocks.cast("long"), "slots": slots.cast("long")}
-        ),
+        ).withColumn("rounds", permutation_rounds(F.greatest("blocks", F.lit(1)), F.col("source_key"))),
         "sources",
     )
     keys = sources.select(F.col("source").alias("_source"), "source_key")
@@ -155,17 +168,22 @@ def mix(
     )
     used = (
         sources.where(F.col("slots") > 0)
-        .select("source_key", "blocks", "slots", F.explode(F.sequence(F.lit(0), F.col("slots") - 1, F.lit(_CHUNK))).alias("low"))
+        .select("source_key", "blocks", "slots", "rounds", F.explode(F.sequence(F.lit(0), F.col("slots") - 1, F.lit(_CHUNK))).alias("low"))
         # The number is given, or the few short rows would be put into one task before they unfold.
         .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_key", "low")
         .select(
             "source_key",
             "blocks",
+            "rounds",
             F.explode(F.sequence("low", F.least(F.col("low") + _CHUNK, "slots") - 1)).alias("slot"),
         )
-        .withColumn("shard", F.pmod(scramble(F.col("slot"), F.col("source_key") + 77_777), F.lit(shards)))
+        .select(
+            "source_key",
+            "slot",
+            permute(F.col("slot") % F.col("blocks"), F.col("blocks"), F.col("rounds")).alias("block"),
+            F.pmod(scramble(F.col("slot"), F.col("source_key") + 77_777), F.lit(shards)).alias("shard"),
+        )
     )
-    used = permute(used, F.col("slot") % F.col("blocks"), "blocks", "source_key", "block").drop("blocks")
     return Mixture(documents, sources, parts.join(used, ["source_key", "block"], "left"))
 
 
@@ -182,7 +200,7 @@ def taken_words(mixture: Mixture) -> DataFrame:
             )
         )
     )
-    return counted.join(mixture.sources.drop("blocks", "slots"), "source_key").select(
+    return counted.join(mixture.sources.drop("blocks", "slots", "rounds"), "source_key").select(
         "doc_id", "source", "size", "source_size", "target", "taken"
     )
 
@@ -225,19 +243,21 @@ def repeat_documents(docs: DataFrame, seed: int = 0, **options: object) -> DataF
 def oracle_sql(block_words: int = 64) -> str:
     """The registered query in SQL for DuckDB."""
 
-    def mod_hash(a: str, b: str) -> tuple[str, str]:
-        first = f"(((({a}) % {PRIME}) * 48271 + (({b}) % {PRIME}) * 69621 + 12345) % {PRIME})"
-        second = f"(({first} * 630360016 + (({a}) % 65537) * 742938285) % {PRIME})"
-        return f"(({second} * 950706376 + {first}) % {PRIME})", first
+    def scrambled(a: str, b: int) -> str:
+        first = f"(({a} % {PRIME} * 48271 + {b % PRIME} * 69621 + 12345) % {PRIME})"
+        second = f"(({first} * 630360016 + {a} % 65537 * 742938285) % {PRIME})"
+        return f"(({second} * 950706376 + {first}) % {PRIME})"
 
     rounds, last = [], "uses0"
     for i in range(ROUNDS):
-        point = f"(({mod_hash('source_key', str(i))[0]} * {PRIME} + {mod_hash('source_key', str(i + 1000))[0]}) % blocks)"
+        point = f"(({scrambled('source_key', i)} * {PRIME} + {scrambled('source_key', i + 1000)}) % blocks)"
+        mixed = (
+            f"((greatest(x, other) % {PRIME} * 48271 + {scrambled('source_key', i + 2000)}) % {PRIME} * 630360016 % {PRIME})"
+        )
         rounds.append(
             f"mirror{i} AS (SELECT *, ({point} - x + blocks) % blocks AS other FROM {last}), "
-            f"uses{i + 1} AS (SELECT source_key, blocks, slot, CASE WHEN "
-            f"({mod_hash('greatest(x, other)', f'source_key * 64 + {i}')[0]} // 65536) % 2 = 0 THEN x ELSE other END AS x "
-            f"FROM mirror{i})"
+            f"uses{i + 1} AS (SELECT source_key, blocks, slot, "
+            f"CASE WHEN ({mixed} // 65536) % 2 = 0 THEN x ELSE other END AS x FROM mirror{i})"
         )
         last = f"uses{i + 1}"
     return f"""
