@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import language_id, mixing, near_dedup
+from periodlens.llm import byte_bpe, language_id, mixing, near_dedup
 from periodlens.llm.common import held_out, read_table
 
 
@@ -18,6 +19,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded with the multilingual byte-level vocabulary."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    vocabulary = byte_bpe.read_vocabulary(path, public_tokenizers.PATTERN)
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mixture to target weights takes of every document."""
     mixture = mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -32,6 +40,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op5_byte_bpe": op5_byte_bpe,
         "op6_mixing": op6_mixing,
         "op9_near_dedup": op9_near_dedup,
     }
