@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import byte_bpe, language_id, mixing, near_dedup
+from periodlens.llm import byte_bpe, language_id, mixing, near_dedup, toxicity
 from periodlens.llm.common import held_out, read_table
 
 
@@ -19,8 +18,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels are learned from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(~held_out(5, 0))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the multilingual byte-level vocabulary."""
+    import public_tokenizers
+
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     vocabulary = byte_bpe.read_vocabulary(path, public_tokenizers.PATTERN)
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
@@ -40,6 +49,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op3_toxicity": op3_toxicity,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_mixing": op6_mixing,
         "op9_near_dedup": op9_near_dedup,
