@@ -184,7 +184,8 @@ def mix(
             F.pmod(scramble(F.col("slot"), F.col("source_key") + 77_777), F.lit(shards)).alias("shard"),
         )
     )
-    return Mixture(documents, sources, parts.join(used, ["source_key", "block"], "left"))
+    # Slots unfold from a few rows, so their size is not known before: without the hint they would be broadcast.
+    return Mixture(documents, sources, parts.join(used.hint("merge"), ["source_key", "block"], "left"))
 
 
 def taken_words(mixture: Mixture) -> DataFrame:
