@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,9 +87,9 @@ def mix64(values: np.ndarray) -> np.ndarray:
 
 
 def _hash_piece(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end of each word of ``data``; words also end at ``cuts``."""
+    """Hash, start and last two bytes (as one number) of each word of ``data``; words also end at ``cuts``."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
     solid = ~_IS_SPACE[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
@@ -104,9 +104,11 @@ def _hash_piece(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndar
     up, down = _power_table(len(data) + 1)
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    lower = _LOWER[data]
+    np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
-    return mix64(hashes + (ends - starts).astype(np.uint64)), starts, ends
+    endings = lower[np.maximum(ends - 2, starts)].astype(np.uint16) << 8 | lower[ends - 1]
+    return mix64(hashes + (ends - starts).astype(np.uint64)), starts, endings
 
 
 def hash_words(texts: list[bytes], limit: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
@@ -116,13 +118,19 @@ def hash_words(texts: list[bytes], limit: int = 1 << 21) -> tuple[np.ndarray, np
     one more entry than there are texts. Memory beside the result is bounded
     by ``limit`` and the longest single word.
     """
-    hashes, counts = [], np.zeros(len(texts) + 1, dtype=np.int64)
+    return hash_words_and_endings(texts, limit)[:2]
+
+
+def hash_words_and_endings(texts: list[bytes], limit: int = 1 << 21) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``hash_words``, and the last two bytes of each word as one number."""
+    hashes, endings, counts = [], [], np.zeros(len(texts) + 1, dtype=np.int64)
     for first, last in chunks_by_size(texts, limit):
         if last - first > 1 or len(texts[first]) <= limit:
             data = np.frombuffer(b"".join(texts[first:last]), dtype=np.uint8)
             bounds = np.cumsum([0, *map(len, texts[first:last])])
-            found, starts, _ = _hash_piece(data, bounds[:-1])
+            found, starts, last_bytes = _hash_piece(data, bounds[:-1])
             hashes.append(found)
+            endings.append(last_bytes)
             counts[first + 1 : last + 1] = np.diff(np.searchsorted(starts, bounds))
             continue
         whole, at = np.frombuffer(texts[first], dtype=np.uint8), 0
@@ -131,22 +139,13 @@ def hash_words(texts: list[bytes], limit: int = 1 << 21) -> tuple[np.ndarray, np
             while end < len(whole) and not _IS_SPACE[whole[end]]:
                 ahead = np.flatnonzero(_IS_SPACE[whole[end : end + limit]])
                 end = end + int(ahead[0]) if len(ahead) else min(end + limit, len(whole))
-            found, _, _ = _hash_piece(whole[at:end], np.zeros(1, np.int64))
+            found, _, last_bytes = _hash_piece(whole[at:end], np.zeros(1, np.int64))
             hashes.append(found)
+            endings.append(last_bytes)
             counts[first + 1] += len(found)
             at = end
-    return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.cumsum(counts)
-
-
-def hash_of_word(word: str) -> int:
-    """What ``hash_words`` gives for one word."""
-    return int(hash_words([word.encode()])[0][0])
-
-
-def weighted_mean(parts: Iterable[tuple[float, np.ndarray]]) -> np.ndarray | None:
-    """Mean of arrays by weight, None without weight."""
-    total, weight = None, 0.0
-    for share, values in parts:
-        total = values * share if total is None else total + values * share
-        weight += share
-    return None if not weight else total / weight
+    return (
+        np.concatenate([np.zeros(0, np.uint64), *hashes]),
+        np.cumsum(counts),
+        np.concatenate([np.zeros(0, np.uint16), *endings]),
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import byte_bpe, language_id, mixing, near_dedup, toxicity
+from periodlens.llm import byte_bpe, language_id, mixing, near_dedup, neural_lm, toxicity
 from periodlens.llm.common import held_out, read_table
 
 
@@ -46,6 +46,12 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_neural_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a log-bilinear model and under counted words."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", held_out(7, 2).alias("held_out"))
+    return neural_lm.score_texts(docs, docs.where("NOT held_out"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -53,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_byte_bpe": op5_byte_bpe,
         "op6_mixing": op6_mixing,
         "op9_near_dedup": op9_near_dedup,
+        "op10_neural_lm": op10_neural_lm,
     }
 
 
