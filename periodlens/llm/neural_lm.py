@@ -36,7 +36,7 @@ END = np.uint64(0x2545F4914F6CDD1D)  # stands for the end of a text
 _END_CLASS = 0
 _FREQUENT = 1 << 20
 _HELD = 1 << 19
-_BATCH, _NOISE = 2048, 64
+_BATCH, _NOISE = 4096, 64
 
 
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,6 +195,13 @@ def starting_parameters(unigram: np.ndarray) -> Parameters:
     )
 
 
+def _add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """``table[rows] += values`` where rows repeat."""
+    order = np.argsort(rows, kind="stable")
+    kinds, starts = np.unique(rows[order], return_index=True)
+    table[kinds] += np.add.reduceat(values[order], starts, axis=0)
+
+
 class Trainer:
     """Noise-contrastive estimation with Adagrad; a batch shares its noise symbols."""
 
@@ -223,20 +230,20 @@ class Trainer:
         g_other = 1 / (1 + np.exp(-np.clip(other, -30, 30))) * size
         g_predicted = g_own[:, None] * p.output[target] + g_other @ p.output[noise]
         gradients = [np.zeros_like(a) for a in p.arrays()]
-        np.add.at(gradients[0], before, g_predicted @ p.first.T)
-        np.add.at(gradients[0], earlier, g_predicted @ p.second.T)
+        _add_rows(gradients[0], before, g_predicted @ p.first.T)
+        _add_rows(gradients[0], earlier, g_predicted @ p.second.T)
         gradients[1] += near.T @ g_predicted
         gradients[2] += far.T @ g_predicted
-        np.add.at(gradients[3], target, g_own[:, None] * predicted)
-        np.add.at(gradients[3], noise, g_other.T @ predicted)
-        np.add.at(gradients[4], target, g_own)
-        np.add.at(gradients[4], noise, g_other.sum(axis=0))
+        _add_rows(gradients[3], target, g_own[:, None] * predicted)
+        _add_rows(gradients[3], noise, g_other.T @ predicted)
+        gradients[4] += np.bincount(target, weights=g_own, minlength=SYMBOLS).astype(np.float32)
+        gradients[4] += np.bincount(noise, weights=g_other.sum(axis=0), minlength=SYMBOLS).astype(np.float32)
         for values, squares, gradient in zip(p.arrays(), self.squares, gradients, strict=True):
             squares += (gradient * len(target)) ** 2 * np.float32(1e-3)
             values -= np.float32(self.rate) * gradient * len(target) * np.float32(0.03) / np.sqrt(squares)
 
 
-def fit(docs: DataFrame, vocabulary: Vocabulary, share: float = 0.125, rounds: int = 3, rate: float = 0.5) -> Parameters:
+def fit(docs: DataFrame, vocabulary: Vocabulary, share: float = 0.25, rounds: int = 2, rate: float = 0.08) -> Parameters:
     """Train on the fixed ``share`` of ``docs`` that a hash of the text picks, so the work grows with the corpus.
 
     In each round every partition trains a copy; copies are averaged in tasks
