@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from periodlens.llm import byte_bpe, language_id, mixing, near_dedup, neural_lm, toxicity
+from periodlens.llm import byte_bpe, embedding_dedup, language_id, mixing, near_dedup, neural_lm, toxicity
 from periodlens.llm.common import held_out, read_table
 
 
@@ -41,6 +41,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixture).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all vectors of a label: cosine 0.93 or more."""
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: five-word shingles, similarity 0.75 or more."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_mixing": op6_mixing,
+        "op8_embedding_dedup": op8_embedding_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_neural_lm": op10_neural_lm,
     }
