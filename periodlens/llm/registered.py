@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from periodlens.llm import byte_bpe, embedding_dedup, language_id, mixing, near_dedup, neural_lm, toxicity
+from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, toxicity
 from periodlens.llm.common import held_out, read_table
+from periodlens.session import pin
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +20,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+def op2_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of every vector whose id is divisible by 50, among all vectors."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    codes = pin(vectors.select("vec_id", code_search.binary_code(F.col("embedding")).alias("code")), "codes")
+    return code_search.nearest(codes, codes.where("vec_id % 50 = 0"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels are learned from the rows that are not held out."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -26,6 +35,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document: its canonical digest, the licence that has it, and notices among its lines."""
+    return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the multilingual byte-level vocabulary."""
     import public_tokenizers
@@ -60,7 +74,9 @@ def op10_neural_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_code_search": op2_code_search,
         "op3_toxicity": op3_toxicity,
+        "op4_licenses": op4_licenses,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_mixing": op6_mixing,
         "op8_embedding_dedup": op8_embedding_dedup,
@@ -70,4 +86,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": mixing.oracle_sql()}
+    return {
+        "op2_code_search": code_search.oracle_sql(),
+        "op4_licenses": licenses.oracle_sql(),
+        "op6_mixing": mixing.oracle_sql(),
+    }
