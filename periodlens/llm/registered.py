@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, toxicity
+from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, toxicity, url_filter
 from periodlens.llm.common import held_out, read_table
 from periodlens.session import pin
 
@@ -55,6 +55,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixture).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page: the longest rule that fits, else the words of host and path."""
+    return url_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all vectors of a label: cosine 0.93 or more."""
     return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
@@ -79,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_licenses": op4_licenses,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_mixing": op6_mixing,
+        "op7_url_filter": op7_url_filter,
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_neural_lm": op10_neural_lm,
