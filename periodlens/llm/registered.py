@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, toxicity, url_filter
 from periodlens.llm.common import held_out, read_table
 from periodlens.session import pin
@@ -88,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_neural_lm": op10_neural_lm,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -96,4 +98,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_code_search": code_search.oracle_sql(),
         "op4_licenses": licenses.oracle_sql(),
         "op6_mixing": mixing.oracle_sql(),
+        **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     }
