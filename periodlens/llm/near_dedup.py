@@ -12,7 +12,10 @@ Documents of equal sets are one class, so exact copies are never compared. In
 each bucket of a band first only the smallest class meets the others. What is
 linked then is one component, and only pairs across components of a bucket are
 compared afterwards: a large group of near copies costs one comparison each,
-not all pairs.
+not all pairs. A bucket with many components, such as copies just too far apart
+to be linked, is dealt out in blocks; every two blocks meet in one task, which
+compares registers and sets in place and returns links that join components,
+not pairs.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +38,7 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 _FILTER_BITS = 26
+_CROWD, _BLOCK = 64, 256
 
 _seeds = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _factors = mix64(_seeds) | np.uint64(1)
@@ -296,8 +301,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, slack: float = 4.0) -> D
         "placed",
     )
     parts = placed.select("band", "value", "component").distinct()
-    meeting = parts.join(
-        parts.select("band", "value", F.col("component").alias("other")), ["band", "value"]
+    mixed = pin(
+        parts.groupBy("band", "value").agg(F.count("*").alias("components")).where("components > 1"), "mixed"
+    )
+    few = pin(parts.join(mixed.where(F.col("components") <= _CROWD), ["band", "value"]).drop("components"), "few")
+    meeting = few.join(
+        few.select("band", "value", F.col("component").alias("other")), ["band", "value"]
     ).where(F.col("component") < F.col("other"))
     crossing = (
         meeting.join(placed.withColumnRenamed("node", "a"), ["band", "value", "component"])
@@ -316,7 +325,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, slack: float = 4.0) -> D
     )
     likely = pin(_likely(crossing, classes, percent, slack), "likely")
     second = _confirmed(likely, sets, percent)
-    links = first.unionByName(second)
+    crowded = placed.join(mixed.where(F.col("components") > _CROWD), ["band", "value"]).drop("components")
+    links = first.unionByName(second).unionByName(_crowded_links(crowded, classes, sets, percent, slack))
     components = pin(connected_components(links, "a", "b"), "components")
     smallest = (
         components.join(classes, F.col("node") == F.col("set_key"))
@@ -338,6 +348,74 @@ def near_duplicates(docs: DataFrame, percent: int = 75, slack: float = 4.0) -> D
     )
 
 
+def _meet(rows: pd.DataFrame, band: int, percent: int, least_equal: float) -> pd.DataFrame:
+    """Links between components of one meeting of two blocks, enough to join all that have a link."""
+    rows = rows.sort_values("node", ignore_index=True)
+    bands = np.stack(rows["bands"].to_numpy())
+    registers, sizes = _as_registers(bands), rows["n_shingles"].to_numpy()
+    sets = [np.frombuffer(value, np.uint64) for value in rows["shingles"]]
+    side, root = rows["side"].to_numpy(), np.unique(rows["component"].to_numpy(), return_inverse=True)[1]
+    second = np.flatnonzero(side != 1)
+    pairs = []
+    for i in np.flatnonzero(side != 2):
+        others = second[second > i] if side[i] == 0 else second
+        others = others[root[others] != root[i]]
+        others = others[100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i])]
+        equal = (registers[others] == registers[i]).sum(axis=1)
+        # A pair belongs to the first band it shares.
+        own = (equal >= least_equal) & ~(bands[others, :band] == bands[i, :band]).any(axis=1)
+        pairs.append(np.stack([equal[own], np.full(own.sum(), i), others[own]], axis=1))
+    pairs = np.concatenate(pairs) if pairs else np.zeros((0, 3), np.int64)
+    pairs = pairs[np.argsort(-pairs[:, 0], kind="stable")]
+    found = []
+    for at in range(0, len(pairs), 4096):
+        for _, i, j in pairs[at : at + 4096][root[pairs[at : at + 4096, 1]] != root[pairs[at : at + 4096, 2]]]:
+            if root[i] == root[j]:
+                continue
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                found.append((i, j))
+                root[root == root[j]] = root[i]
+    node = rows["node"].to_numpy()
+    return pd.DataFrame({"a": [node[i] for i, _ in found], "b": [node[j] for _, j in found]}, dtype=object)
+
+
+def _crowded_links(crowded: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, slack: float) -> DataFrame:
+    """Links (a, b) between components within buckets of any size: blocks of bounded size meet two by two."""
+    limit = percent / 100
+    least_equal = REGISTERS * limit - slack * np.sqrt(REGISTERS * limit * (1 - limit))
+    held = crowded.groupBy("band", "value").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    meetings = crowded.join(held, ["band", "value"]).withColumn("block", block).select(
+        "band",
+        "value",
+        "node",
+        "component",
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(0), F.col("blocks") - 1),
+                lambda other: F.struct(
+                    F.least("block", other).alias("low"),
+                    F.greatest("block", other).alias("high"),
+                    F.when(other == F.col("block"), 0).when(other > F.col("block"), 1).otherwise(2).alias("side"),
+                ),
+            )
+        ).alias("m"),
+    )
+
+    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _meet(rows, int(key[0]), percent, least_equal)
+
+    detail = classes.select(F.col("set_key").alias("node"), "bands", "n_shingles")
+    return (
+        meetings.select("band", "value", "node", "component", "m.*")
+        .join(detail, "node")
+        .join(sets.select(F.col("set_key").alias("node"), "shingles"), "node")
+        .groupBy("band", "value", "low", "high")
+        .applyInPandas(meet, "a binary, b binary")
+    )
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int, slack: float) -> DataFrame:
     """The pairs whose registers do not rule out the wanted similarity."""
     limit = percent / 100
