@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from periodlens.llm import byte_bpe, language_id, mixing, near_dedup, toxicity
 from periodlens.llm.common import held_out, read_table
@@ -24,7 +25,9 @@ def _aside(docs: DataFrame, names: list[str]) -> DataFrame:
 
 
 def _columns_of(df: DataFrame, docs: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed({f"_aside_{name}": name for name in docs.columns}).select(*docs.columns)
+    """The columns of ``docs`` only, under their names."""
+    aside = {name: f"_aside_{name}" for name in docs.columns}
+    return df.select(*[F.col(aside[name] if aside[name] in df.columns else name).alias(name) for name in docs.columns])
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """URL filter: rules first, else naive Bayes over words of host and path.
 
 Names of hosts run words together. A unigram model of words, counted over all
-pages, splits each run of letters into its likeliest words (Viterbi). A
+pages' titles and URLs, splits each run of letters into its likeliest words (Viterbi). A
 multinomial naive Bayes model scores the words of host and path. Its two
 classes are taught by a list of terms: a URL with one of them among its words
 is an example to block, any other one to allow; the model then also weighs
@@ -62,14 +62,23 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit("[a-z]+"), F.lit(0))
 
 
-def count_words(pages: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """``word`` and ``n``: words of titles, of paths and between separators of hosts, over all pages, and each term."""
+def count_words(pages: DataFrame, terms: Sequence[str], least_hosts: int = 3) -> DataFrame:
+    """``word`` and ``n``: words of titles and paths over all pages, runs of letters that ``least_hosts`` hosts or more
+    have (a run of one host may be a whole run-together name), and each term."""
     host, path = split_url(F.col("url"))
     title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
-    found = F.concat(*[F.coalesce(_words(part), F.array().cast("array<string>")) for part in (host, path, title)])
-    counted = pages.select(F.explode(found).alias("word")).where(F.length("word") <= LONGEST_WORD)
-    taught = pages.sparkSession.createDataFrame([(term,) for term in terms], "word string")
-    return counted.unionByName(taught).groupBy("word").agg(F.count("*").alias("n"))
+    found = F.concat(*[F.coalesce(_words(part), F.array().cast("array<string>")) for part in (path, title)])
+    counted = pages.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    hosts = pages.select(host.alias("host")).distinct().select(F.explode(F.array_distinct(_words(F.col("host")))).alias("word"))
+    common = hosts.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_hosts)
+    taught = pages.sparkSession.createDataFrame([(term, 1) for term in terms], "word string, n long")
+    return (
+        counted.unionByName(common)
+        .unionByName(taught)
+        .where(F.length("word") <= LONGEST_WORD)
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def best_split(run: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
