@@ -10,21 +10,26 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from periodlens.operators.ordering import rank_rows
+from periodlens.session import pin
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """The first row per key in the given order.
+    """The first row per key in the given order; rows equal in it are taken by their other columns.
 
-    An aggregation, so copies of one key collapse before the shuffle.
+    An aggregation, so copies of one key collapse before the shuffle. Each
+    column is held once: the least row is the least by its order columns, which
+    come first.
     """
-    order_columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    row = F.struct(*[F.col(c) for c in df.columns])
-    kept = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order_columns)).alias("_row"))
-    return kept.select("_row.*")
+    named = [c for c in order if isinstance(c, str)]
+    parts = [F.col(c) if isinstance(c, str) else c.alias(f"_order_{i}") for i, c in enumerate(order)]
+    rest = [F.col(c) for c in df.columns if c not in named and c not in keys]
+    row = F.struct(*parts, *rest)
+    kept = df.groupBy(*keys).agg(F.min(row).alias("_row"))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -59,8 +64,9 @@ def insert_if_absent(
 
     Rows present in the target are never changed.
     """
-    unique = first_per_key(incoming, keys, order or [c for c in incoming.columns if c not in keys])
-    new = unique.join(target.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+    # Files are resent whole, so most rows are known: they go before the others are reduced, on the same exchange.
+    unknown = incoming.join(target.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+    new = first_per_key(unknown, keys, order or [c for c in incoming.columns if c not in keys])
     if surrogate:
         new = _number_new_rows(target, new, surrogate, keys)
     return target.unionByName(new)
@@ -76,29 +82,37 @@ def upsert(
 ) -> DataFrame:
     """Overwrite rows of known keys, append the rest.
 
-    ``incoming`` must be unique on the keys. Its columns replace the target's,
-    NULLs included; target columns it lacks are kept. ``on_insert`` and
-    ``on_update`` give the remaining columns of new and of changed rows.
+    ``incoming`` must be unique on the keys: a key that comes twice fails the
+    job that reads the result, with the key in its message. Its columns replace
+    the target's, NULLs included; target columns it lacks are kept.
+    ``on_insert`` and ``on_update`` give the remaining columns of new and of
+    changed rows. One full outer join, each side exchanged once; the copies of a
+    key are counted on the exchange and sort of the join.
     """
     on_insert, on_update = dict(on_insert or {}), dict(on_update or {})
-    changes = incoming.select(
-        F.struct(*incoming.columns).alias("_new"), *[F.col(k).alias(f"_key_{k}") for k in keys]
+    copies = F.count("*").over(Window.partitionBy(*keys))
+    shown = F.to_json(F.struct(*keys))
+    checked = F.when(copies > 1, F.raise_error(F.concat(F.lit("duplicate key "), shown)).cast("boolean")).otherwise(True)
+    changes = incoming.withColumn("_once", checked).select(
+        F.struct(*incoming.columns, "_once").alias("_new"), *[F.col(k).alias(f"_key_{k}") for k in keys]
     )
     matches = reduce(and_, [F.col(k) == F.col(f"_key_{k}") for k in keys])
     is_changed = F.col("_new").isNotNull()
-    replaced, added = [], []
+    is_known = F.col("_known").isNotNull()
+    merged = []
     for field in target.schema.fields:
         name, kind = field.name, field.dataType
-        if name in incoming.columns:
-            old = F.when(is_changed, F.col(f"_new.{name}")).otherwise(F.col(name))
-            fresh = F.col(name)
+        if name in incoming.columns and name != surrogate:
+            value = F.when(is_changed, F.col(f"_new.{name}")).otherwise(F.col(name))
         else:
-            old = F.when(is_changed, on_update.get(name, F.col(name))).otherwise(F.col(name))
-            fresh = on_insert.get(name, F.lit(None))
-        replaced.append(old.cast(kind).alias(name))
-        added.append(fresh.cast(kind).alias(name))
-    known = target.join(changes, matches, "left").select(*replaced)
-    new = incoming.join(target.select(*keys), list(keys), "left_anti").select(*added)
-    if surrogate:
-        new = _number_new_rows(target, new.drop(surrogate), surrogate, keys)
-    return known.unionByName(new)
+            value = F.when(is_changed & is_known, on_update.get(name, F.col(name)))
+            value = value.when(is_changed, on_insert.get(name, F.lit(None))).otherwise(F.col(name))
+        merged.append(value.cast(kind).alias(name))
+    once = F.coalesce(F.col("_new._once"), F.lit(True))
+    joined = target.withColumn("_known", F.lit(True)).join(changes, matches, "full_outer").where(once)
+    if not surrogate:
+        return joined.select(*merged)
+    # New rows are numbered after the others, so the join is written once and read twice.
+    rows = pin(joined.select(*merged, is_known.alias("_is_known")), "upsert")
+    known, new = (rows.where(side).drop("_is_known") for side in ("_is_known", "NOT _is_known"))
+    return known.unionByName(_number_new_rows(target, new.drop(surrogate), surrogate, keys))

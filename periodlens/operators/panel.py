@@ -8,6 +8,8 @@ mine, and a mine has at most four rows per calendar year.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -97,14 +99,26 @@ def _last_four() -> WindowSpec:
     return _by_time().rowsBetween(-3, Window.currentRow)
 
 
+def _fold_units(facts: DataFrame, keys: Sequence[str], numbers: Mapping[str, Column]) -> DataFrame:
+    """Aggregate ``numbers`` per key, and the greatest ``production_unit``.
+
+    The greatest text needs a sort aggregate. Facts are therefore reduced by
+    hash per key and unit, and the few units of a key are folded after that.
+    """
+    by_unit = facts.groupBy(*keys, "production_unit").agg(*[value.alias(name) for name, value in numbers.items()])
+    kinds = dict(by_unit.dtypes)
+    folded = {
+        name: (F.max(name) if name in ("year", "quarter") else F.sum(name)).cast(kinds[name]) for name in numbers
+    }
+    return by_unit.groupBy(*keys).agg(
+        *[value.alias(name) for name, value in folded.items()], F.max("production_unit").alias("production_unit")
+    )
+
+
 def activity_spine(employment: DataFrame) -> DataFrame:
     """Employment and production summed over sub-units per mine and quarter."""
-    return employment.groupBy("mine_key", "period_key", "year", "quarter").agg(
-        F.sum("avg_employees").alias("avg_employees"),
-        F.sum("employee_hours").alias("employee_hours"),
-        F.sum("production_volume").alias("production_volume"),
-        F.max("production_unit").alias("production_unit"),
-    )
+    measures = ("avg_employees", "employee_hours", "production_volume")
+    return _fold_units(employment, ("mine_key", "period_key", "year", "quarter"), {m: F.sum(m) for m in measures})
 
 
 def incident_counts(incidents: DataFrame) -> DataFrame:
@@ -150,24 +164,19 @@ def _counts_by_quarter(employment: DataFrame, incidents: DataFrame, violations:
     )
     facts = activity.unionByName(incident, allowMissingColumns=True)
     facts = facts.unionByName(violation, allowMissingColumns=True)
-    return (
-        facts.groupBy("mine_key", "period_key")
-        .agg(
-            F.max("year").alias("year"),
-            F.max("quarter").alias("quarter"),
-            F.sum("avg_employees").alias("avg_employees"),
-            F.sum("employee_hours").alias("employee_hours"),
-            F.sum("production_volume").alias("production_volume"),
-            F.max("production_unit").alias("production_unit"),
-            F.count("is_activity").alias("activity_rows"),
-            F.count("is_incident").alias("incident_count_current_qtr"),
-            F.count("is_violation").alias("violation_count_current_qtr"),
-            F.count_if("is_lost_day").alias("lost_day_incident_count_current_qtr"),
-            F.count_if("is_significant").alias("ss_violation_count_current_qtr"),
-        )
-        .where("activity_rows > 0")
-        .drop("activity_rows")
-    )
+    numbers = {
+        "year": F.max("year"),
+        "quarter": F.max("quarter"),
+        "avg_employees": F.sum("avg_employees"),
+        "employee_hours": F.sum("employee_hours"),
+        "production_volume": F.sum("production_volume"),
+        "activity_rows": F.count("is_activity"),
+        "incident_count_current_qtr": F.count("is_incident"),
+        "violation_count_current_qtr": F.count("is_violation"),
+        "lost_day_incident_count_current_qtr": F.count_if("is_lost_day"),
+        "ss_violation_count_current_qtr": F.count_if("is_significant"),
+    }
+    return _fold_units(facts, ("mine_key", "period_key"), numbers).where("activity_rows > 0").drop("activity_rows")
 
 
 def _previous(name: str) -> Column:
