@@ -490,6 +490,30 @@ def staging_rejects(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def staging_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Mines made from parts, some with a broken line, too many fields, or a latitude that is no number or too large."""
+    key = F.col("p_partkey").cast("string")
+    fault = F.col("p_partkey") % 10
+    line = F.concat_ws("|", key, F.lit("Deep"), F.lit("AL"), F.lit("1.5"))
+    lines = (
+        F.when(fault == 1, F.array(F.concat(key, F.lit('|"Deep')), F.lit('Hollow"|AL|1.5')))
+        .when(fault == 2, F.array(F.concat(line, F.lit("|more"))))
+        .when(fault == 3, F.array(F.concat_ws("|", key, F.lit("Deep"), F.lit("AL"), F.lit("99999"))))
+        .when(fault == 4, F.array(F.concat_ws("|", key, F.lit("Deep"), F.lit("AL"), F.lit("north"))))
+        .otherwise(F.array(line))
+    )
+    target = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}/faults"
+    raw = spark.read.parquet(f"{folder}/part.parquet").select(F.explode(lines).alias("MINE_ID|MINE_NAME|STATE|LATITUDE"))
+    raw.write.option("header", True).option("quote", "").option("sep", "\x01").csv(target)
+    staged = staging.stage_rows(
+        read_delimited(spark, target), staging.MINES, "run", "faults.txt", AS_OF, on_too_many_fields="quarantine"
+    )
+    reasons = staged.rejected.select("reject_reason").unionByName(
+        staged.accepted.select(F.lit("accepted").alias("reject_reason"))
+    )
+    return _plain(reasons.groupBy("reject_reason").agg(F.count("*").alias("row_count")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "spine_agg": spine_agg,
@@ -540,4 +564,5 @@ def queries() -> dict[str, Query]:
         **{f"staged_{d.name.removeprefix('msha_')}": _staged_query(d) for d in staging.DATASETS},
         "staging_statistics": staging_statistics,
         "staging_rejects": staging_rejects,
+        "staging_faults": staging_faults,
     }

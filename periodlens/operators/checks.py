@@ -271,3 +271,8 @@ def constraint_report(df: DataFrame, table: str, mines: DataFrame | None = None)
             F.lit("unknown_mine_key").alias("test_name"), "failure_count", F.lit(False).alias("is_statistic")
         )
     )
+
+
+def require_constraints(df: DataFrame, table: str, mines: DataFrame | None = None) -> None:
+    """Raise, naming all of them, if constraints of a table are violated."""
+    raise_on_failures(constraint_report(df, table, mines), f"{table} violates constraints")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ from periodlens.session import pin
 from periodlens.sources.delimited import (
     FILE_ORDER,
     TOO_MANY_FIELDS,
+    UNBALANCED_QUOTES,
     data_columns,
     read_delimited,
     require_columns,
@@ -45,6 +47,8 @@ class Field:
     required: bool = False
     non_negative: bool = False
     allowed: tuple[int, ...] = ()
+    stored: str | None = None
+    """Type of the stored column where a typed value may not fit it."""
 
 
 @dataclass(frozen=True)
@@ -101,8 +105,8 @@ MINES = Dataset(
         Field("state", ("state", "state_abbr", "state_cd", "province_state")),
         Field("commodity", ("primary_commodity", "commodity", "primary_commodity_cd", "commodity_cd")),
         Field("mine_type", ("mine_type", "mine_type_cd", "mine_type_desc", "mine_type_raw")),
-        Field("latitude", ("latitude", "lat"), "decimal"),
-        Field("longitude", ("longitude", "lon", "long"), "decimal"),
+        Field("latitude", ("latitude", "lat"), "decimal", stored="decimal(10,6)"),
+        Field("longitude", ("longitude", "lon", "long"), "decimal", stored="decimal(10,6)"),
     ),
     ("mine_id",),
     _mine_columns,
@@ -148,13 +152,15 @@ EMPLOYMENT = Dataset(
             ("avg_employees", "avg_employee", "avg_emp", "avg_employment"),
             "decimal",
             non_negative=True,
+            stored="decimal(12,2)",
         ),
-        Field("employee_hours", ("employee_hours", "emp_hours", "hours_worked"), "decimal", non_negative=True),
+        Field("employee_hours", ("employee_hours", "emp_hours", "hours_worked"), "decimal", non_negative=True, stored="decimal(14,2)"),
         Field(
             "production_volume",
             ("production", "production_volume", "prod_tons", "total_production"),
             "decimal",
             non_negative=True,
+            stored="decimal(16,2)",
         ),
         Field("production_unit", ("production_unit", "prod_unit", "unit")),
     ),
@@ -200,6 +206,7 @@ INCIDENTS = Dataset(
             ("hours_worked", "hours_worked_basis", "employee_hours"),
             "decimal",
             non_negative=True,
+            stored="decimal(14,2)",
         ),
     ),
     ("document_number", "mine_id", "incident_date"),
@@ -303,14 +310,16 @@ ASSESSED = Dataset(
             ("proposed_penalty_amount", "proposed_penalty", "proposed_penalty_amt"),
             "decimal",
             non_negative=True,
+            stored="decimal(14,2)",
         ),
         Field(
             "assessment_amount",
             ("assessment_amount", "assessed_amount", "assessment_amt"),
             "decimal",
             non_negative=True,
+            stored="decimal(14,2)",
         ),
-        Field("interest_amount", ("interest_amount", "interest_amt"), "decimal", non_negative=True),
+        Field("interest_amount", ("interest_amount", "interest_amt"), "decimal", non_negative=True, stored="decimal(14,2)"),
         Field("case_status", ("case_status", "case_status_cd", "assess_case_status")),
         Field(
             "violation_reference",
@@ -329,7 +338,10 @@ def _reject_reason(
     dataset: Dataset, raw: Mapping[str, Column], value: Mapping[str, Column], header_required: tuple[str, ...]
 ) -> Column:
     """First reason to refuse a row, NULL for a good one."""
-    reasons = [F.when(F.col(TOO_MANY_FIELDS), "too many fields")]
+    reasons = [
+        F.when(F.col(UNBALANCED_QUOTES), "unbalanced quotes"),
+        F.when(F.col(TOO_MANY_FIELDS), "too many fields"),
+    ]
     for field in dataset.fields:
         given, typed = raw[field.name], value[field.name]
         # A date is mandatory per row when its column is mandatory.
@@ -340,6 +352,10 @@ def _reject_reason(
             reasons.append(F.when(typed.isNull(), f"missing {field.name}"))
         if field.non_negative:
             reasons.append(F.when(typed < 0, f"negative {field.name}"))
+        if field.stored:
+            reasons.append(
+                F.when(typed.isNotNull() & typed.try_cast(field.stored).isNull(), f"out of range {field.name}")
+            )
         if field.allowed:
             reasons.append(F.when(~typed.isin(*field.allowed), f"invalid {field.name}"))
     return F.coalesce(*reasons)
@@ -394,7 +410,7 @@ def stage_rows(
 ) -> Staged:
     """Split raw rows into accepted and rejected ones, with load statistics.
 
-    A row with too many fields fails the data set, or with
+    A row with too many fields or unbalanced quotes fails the data set, or with
     ``on_too_many_fields="quarantine"`` is rejected like any other bad row.
     """
     rows = pin(
@@ -402,9 +418,12 @@ def stage_rows(
     )
     rejected = rows.where(F.col("reject_reason").isNotNull())
     if on_too_many_fields == "fail":
-        first = rejected.where("reject_reason = 'too many fields'").head(1)
+        first = rejected.where("reject_reason IN ('too many fields', 'unbalanced quotes')").head(1)
         if first:
-            raise ValueError(f"{dataset.name}: row with too many fields in {first[0]['_file_path']}")
+            raise ValueError(
+                f"{dataset.name}: {first[0]['reject_reason']} in {first[0]['_file_path']}; "
+                "files with line breaks inside quotes need multi_line=True, and should come in several parts"
+            )
     accepted = rows.where(F.col("reject_reason").isNull()).drop("reject_reason")
     if dataset.keep_first:
         accepted = first_per_key(accepted, ["source_record_id"], FILE_ORDER)
@@ -445,7 +464,9 @@ def load_run(
 ) -> list[dict]:
     """Stage every data set of a run in order; returns one summary per data set.
 
-    A failing required data set stops the run, an optional one is skipped.
+    A failing required data set stops the run; an optional one is skipped, and
+    its summary has the status FAILED and the reason in ``error``. Summaries
+    have the seconds a data set took in ``duration_seconds``.
     """
     manifest = read_manifest(spark, f"{run_folder}/manifest.json")
     require_datasets(manifest, [d.name for d in datasets if d.required])
@@ -454,7 +475,7 @@ def load_run(
     for dataset in datasets:
         if dataset.name not in file_names:
             continue
-        file_name = file_names[dataset.name]
+        file_name, started = file_names[dataset.name], time.monotonic()
         try:
             raw = read_delimited(spark, f"{run_folder}/{file_name}", delimiter, encoding, multi_line)
             staged = stage_rows(
@@ -462,9 +483,20 @@ def load_run(
             )
             replace_run(staged.accepted, f"{warehouse}/staging/{dataset.table}")
             replace_run(staged.rejected.drop(*FILE_ORDER), f"{warehouse}/quarantine/{dataset.table}")
-        except Exception:
+            summary = staged.statistics.first().asDict() | {"error": None}
+        except Exception as error:
             if dataset.required:
                 raise
-            continue
-        summaries.append(staged.statistics.first().asDict())
+            summary = {
+                "run_id": run_id,
+                "dataset_name": dataset.name,
+                "stage_table": dataset.table,
+                "source_file_name": file_name,
+                "rows_read": None,
+                "rows_loaded": None,
+                "rows_rejected": None,
+                "status": "FAILED",
+                "error": str(error),
+            }
+        summaries.append(summary | {"duration_seconds": time.monotonic() - started})
     return summaries

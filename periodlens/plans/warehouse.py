@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from periodlens.operators.checks import require_constraints
 from periodlens.operators.merge import insert_if_absent, upsert
 from periodlens.sources.tables import latest_run, read_version, write_version
 
@@ -217,7 +218,11 @@ def _current(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
 def run_warehouse_load(
     spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str | None = None
 ) -> dict[str, int]:
-    """Load one staged run, the newest by default; returns row counts added or updated."""
+    """Load one staged run, the newest by default; returns row counts added or updated.
+
+    A table becomes current only if it keeps its constraints; else the load
+    stops, and that table and the ones after it stay as they were.
+    """
 
     def staged(table: str) -> DataFrame:
         return spark.read.parquet(f"{warehouse}/staging/{table}")
@@ -228,7 +233,8 @@ def run_warehouse_load(
         return staged(table).where(F.col("run_id") == run)
 
     mine_rows = of_run("stg_msha_mines")
-    write_version(load_mines(_current(spark, warehouse, "mine"), mine_rows, now), f"{warehouse}/mine")
+    merged_mines = load_mines(_current(spark, warehouse, "mine"), mine_rows, now)
+    write_version(merged_mines, f"{warehouse}/mine", lambda df: require_constraints(df, "mine"))
     mines = read_version(spark, f"{warehouse}/mine")
     changed = {"mine": mine_rows.count()}
     steps = {
@@ -239,6 +245,10 @@ def run_warehouse_load(
     }
     for name, (table, to_rows, load) in steps.items():
         before = _current(spark, warehouse, name)
-        write_version(load(before, to_rows(of_run(table), mines, now)), f"{warehouse}/{name}")
+        write_version(
+            load(before, to_rows(of_run(table), mines, now)),
+            f"{warehouse}/{name}",
+            lambda df, name=name: require_constraints(df, name, mines),
+        )
         changed[name] = read_version(spark, f"{warehouse}/{name}").count() - before.count()
     return changed

@@ -13,6 +13,7 @@ from periodlens.functions.text import normalize_header
 # File position of a row; together these follow the order of lines in a file.
 FILE_ORDER = ("_file_path", "_block_start", "_line_order")
 TOO_MANY_FIELDS = "_too_many_fields"
+UNBALANCED_QUOTES = "_unbalanced_quotes"
 
 
 def _reader(spark: SparkSession, delimiter: str, encoding: str, multi_line: bool) -> DataFrameReader:
@@ -32,6 +33,20 @@ def _field_count(line: Column, delimiter: str) -> Column:
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit(""))) + 1
 
 
+def _header(spark: SparkSession, path: str, reader: DataFrameReader) -> list[str]:
+    """The header that all files of ``path`` share; one line of each file is read."""
+    headers: dict[tuple[str, ...], str] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        first = reader.csv(file).first()
+        if first is not None:
+            headers.setdefault(tuple(normalize_header(name or "") for name in first), file)
+    if not headers:
+        raise ValueError(f"missing header row in {path}")
+    if len(headers) > 1:
+        raise ValueError(f"differing headers in {path}: {sorted(headers.values())}")
+    return list(next(iter(headers)))
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -42,31 +57,51 @@ def read_delimited(
     """Rows as text under normalised header names, plus their file position.
 
     Rows with too few fields are padded with NULL; rows with too many are
-    marked in ``_too_many_fields``. ``multi_line`` keeps line breaks inside
-    quotes but makes each file one split, so leave it off for large files.
+    marked in ``_too_many_fields``. Files of one folder must have equal
+    headers. ``multi_line`` keeps line breaks inside quotes but makes each file
+    one split, so such files should come in several parts. Without it a line
+    with an odd number of quotes, as such a break leaves behind, is marked in
+    ``_unbalanced_quotes``; it is no row of data.
     """
-    first = _reader(spark, delimiter, encoding, multi_line).csv(path).first()
-    if first is None:
-        raise ValueError(f"missing header row in {path}")
-    header = [name or "" for name in first]
+    reader = _reader(spark, delimiter, encoding, multi_line)
+    header = _header(spark, path, reader)
     width = len(header)
-    schema = T.StructType(
-        [T.StructField(f"c{i}", T.StringType()) for i in range(width)] + [T.StructField("_malformed", T.StringType())]
-    )
-    rows = (
-        _reader(spark, delimiter, encoding, multi_line)
-        .option("header", True)
-        .option("columnNameOfCorruptRecord", "_malformed")
-        .option("enforceSchema", True)
-        .schema(schema)
-        .csv(path)
-    )
+    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(width)]
+    schema = T.StructType([*fields, T.StructField("_malformed", T.StringType())])
+    if multi_line:
+        rows = (
+            reader.option("header", True)
+            .option("columnNameOfCorruptRecord", "_malformed")
+            .option("enforceSchema", True)
+            .schema(schema)
+            .csv(path)
+            .withColumn(UNBALANCED_QUOTES, F.lit(False))
+        )
+    else:
+        # Whole lines first, so a line can be judged before it is parsed.
+        lines = (
+            spark.read.option("sep", "\x01")
+            .option("quote", "")
+            .option("encoding", encoding)
+            .option("header", True)
+            .option("enforceSchema", True)
+            .schema("_line string")
+            .csv(path)
+        )
+        options = {"sep": delimiter, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_malformed"}
+        quotes = F.length("_line") - F.length(F.replace("_line", F.lit('"'), F.lit("")))
+        rows = lines.select(
+            F.from_csv("_line", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options).alias("_row"),
+            (quotes % 2 == 1).alias(UNBALANCED_QUOTES),
+            "_metadata",
+        ).select("_row.*", UNBALANCED_QUOTES, "_metadata")
     # The last of equally named columns counts, as in a row dictionary.
-    position = {normalize_header(name): i for i, name in enumerate(header)}
+    position = {name: i for i, name in enumerate(header)}
     too_many = F.coalesce(_field_count(F.col("_malformed"), delimiter) > width, F.lit(False))
     return rows.select(
         *[F.col(f"c{i}").alias(name) for name, i in position.items()],
         too_many.alias(TOO_MANY_FIELDS),
+        UNBALANCED_QUOTES,
         F.col("_metadata.file_path").alias("_file_path"),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_line_order"),

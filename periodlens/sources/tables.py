@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,27 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(status.getPath().getParent().getName().removeprefix("version-")) for status in done)
 
 
-def write_version(df: DataFrame, root: str) -> int:
-    """Write ``df`` as the next version; readers keep the one they opened."""
-    number = (_versions(df.sparkSession, root) or [0])[-1] + 1
-    df.write.mode("overwrite").parquet(f"{root}/version-{number:06d}")
+def write_version(df: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None) -> int:
+    """Write ``df`` as the next version; readers keep the one they opened.
+
+    The rows are written aside, ``check`` reads them there and may raise, and
+    only then they become a version: after a failure the old one stays current.
+    Two writers of one version cannot both succeed.
+    """
+    spark = df.sparkSession
+    number = (_versions(spark, root) or [0])[-1] + 1
+    aside, final = f"{root}/pending-{uuid.uuid4().hex}", f"{root}/version-{number:06d}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(aside)
+        if check is not None:
+            check(spark.read.schema(df.schema).parquet(aside))
+        if files.exists(hadoop(final)) or not files.rename(hadoop(aside), hadoop(final)):
+            raise RuntimeError(f"{final} was written by another run")
+    except Exception:
+        files.delete(hadoop(aside), True)
+        raise
     return number
 
 

@@ -83,3 +83,25 @@ def test_require_unique(spark):
     with pytest.raises(ValueError, match="duplicate key"):
         merge.require_unique(df, ["id"], "things")
     merge.require_unique(df.distinct(), ["id"], "things")
+
+
+def test_duplicate_key_fails_an_upsert(spark):
+    target = spark.createDataFrame([(1, "a", 1)], "k long, id string, value int")
+    incoming = spark.createDataFrame([("a", 2), ("b", 3), ("b", 4)], "id string, value int")
+    with pytest.raises(Exception, match="duplicate key"):
+        merge.upsert(target, incoming, ["id"], surrogate="k").collect()
+    with pytest.raises(Exception, match="duplicate key"):
+        merge.upsert(target.drop("k"), incoming, ["id"]).collect()
+
+
+def test_upsert_exchanges_each_side_once(spark):
+    target = spark.range(10).selectExpr("cast(id AS string) AS id", "1 AS value").repartition(3)
+    incoming = spark.range(5, 15).selectExpr("cast(id AS string) AS id", "2 AS value").repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge.upsert(target, incoming, ["id"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("hashpartitioning") == 2
+    assert merged.groupBy("value").count().orderBy("value").collect() == [(1, 5), (2, 10)]

@@ -176,3 +176,15 @@ def test_time_split(busy):
     train, valid = panel.time_split(panel.training_view(busy), 2010)
     assert train.agg(F.max("year")).first()[0] == 2009
     assert [r.year for r in valid.select("year").distinct().collect()] == [2010]
+
+
+def test_facts_are_reduced_by_hash(spark):
+    from periodlens.operators import panel
+
+    employment = spark.range(4).selectExpr(
+        "id AS mine_key", "'2020Q1' AS period_key", "2020 AS year", "1 AS quarter", "1.5 AS avg_employees",
+        "2.5 AS employee_hours", "3.5 AS production_volume", "cast(id % 2 AS string) AS production_unit",
+    )
+    plan = panel.activity_spine(employment)._jdf.queryExecution().executedPlan().toString()
+    lowest = [line for line in plan.splitlines() if "Aggregate" in line][-1]
+    assert "HashAggregate" in lowest and "production_unit" in lowest.split("functions=")[0]

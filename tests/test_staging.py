@@ -1,10 +1,13 @@
+import dataclasses
 import datetime as dt
 import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from periodlens.plans import staging, warehouse
-from periodlens.sources import tables
+from periodlens.sources import delimited, tables
 from periodlens.sources.delimited import read_delimited, require_columns, resolve
 
 NOW = dt.datetime(2021, 1, 1)
@@ -171,3 +174,61 @@ def test_missing_required_dataset(spark, tmp_path):
     (tmp_path / "r1" / "manifest.json").write_text(json.dumps({"datasets": entries[:-1]}))
     with pytest.raises(ValueError, match="msha_assessed_violations"):
         staging.load_run(spark, str(tmp_path / "r1"), str(tmp_path / "w"), "r1", NOW)
+
+
+def test_broken_line_invents_no_row(spark, tmp_path):
+    path = write(tmp_path / "f.txt", "MINE_ID|MINE_NAME|STATE", '1|"Deep', 'Hollow"|AL', '2|"Up|Side"|KY')
+    with pytest.raises(ValueError, match="unbalanced quotes.*multi_line"):
+        stage(spark, path, staging.MINES)
+    staged = stage(spark, path, staging.MINES, on_too_many_fields="quarantine")
+    assert [(r.mine_id, r.mine_name) for r in staged.accepted.collect()] == [("2", "Up|Side")]
+    assert {r.reject_reason for r in staged.rejected.collect()} == {"unbalanced quotes"}
+
+
+def test_differing_headers(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    write(tmp_path / "d" / "a.txt", "MINE_ID|STATE", "1|AL")
+    write(tmp_path / "d" / "b.txt", "STATE|MINE_ID", "AL|2")
+    with pytest.raises(ValueError, match="differing headers"):
+        delimited.read_delimited(spark, str(tmp_path / "d"))
+
+
+def test_oversize_value_is_rejected(spark, tmp_path):
+    path = write(tmp_path / "f.txt", EMPLOYMENT_HEADER, "1|2020|1|A|99999999999|5|10|t", "2|2020|1|A|2|5|10|t")
+    staged = stage(spark, path, staging.EMPLOYMENT)
+    assert [r.mine_id for r in staged.accepted.collect()] == ["2"]
+    assert staged.rejected.first().reject_reason == "out of range avg_employees"
+
+
+def test_failed_optional_dataset_is_reported(spark, tmp_path):
+    run_files(tmp_path / "r1", 1)
+    write(tmp_path / "r1" / "asm.txt", "OTHER", "1")
+    optional = tuple(dataclasses.replace(d, required=d.name != staging.ASSESSED.name) for d in staging.DATASETS)
+    found = staging.load_run(spark, str(tmp_path / "r1"), str(tmp_path / "w"), "r1", NOW, datasets=optional)
+    assert found[-1]["status"] == "FAILED" and "missing required columns" in found[-1]["error"]
+    assert found[0]["error"] is None and found[0]["duration_seconds"] > 0
+
+
+def test_bad_row_leaves_the_old_version_current(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.write_version(spark.range(3), root)
+
+    def refuse(df):
+        raise ValueError(f"{df.count()} rows")
+
+    with pytest.raises(ValueError, match="5 rows"):
+        tables.write_version(spark.range(5), root, refuse)
+    assert tables.read_version(spark, root).count() == 3
+    home = str(tmp_path / "warehouse")
+    run_files(tmp_path / "r1", 100)
+    staging.load_run(spark, str(tmp_path / "r1"), home, "r1", NOW)
+    warehouse.run_warehouse_load(spark, home, NOW, "r1")
+    staged = spark.read.parquet(f"{home}/staging/stg_msha_incidents").withColumn("run_id", F.lit("bad"))
+    bad = staged.selectExpr("*").withColumn("lost_days", F.lit(-4)).withColumn("source_record_id", F.lit("new"))
+    for name in ("mines", "employment_production", "violations", "assessed_violations"):
+        rows = spark.read.parquet(f"{home}/staging/stg_msha_{name}").where("run_id = 'r1'")
+        tables.replace_run(rows.withColumn("run_id", F.lit("bad")), f"{home}/staging/stg_msha_{name}")
+    tables.replace_run(bad, f"{home}/staging/stg_msha_incidents")
+    with pytest.raises(ValueError, match="incident violates constraints"):
+        warehouse.run_warehouse_load(spark, home, NOW, "bad")
+    assert [r.lost_days for r in tables.read_version(spark, f"{home}/incident").collect()] == [100]
