@@ -3,9 +3,11 @@
 A 64-bit code is cut into segments, and the index holds every segment's value.
 Two codes at distance ``d`` or less over ``s`` segments have a segment in
 which they differ in at most ``d / s`` bits. So a query looks up its segments
-with 0, 1, 2, ... flipped bits, and after radius ``r`` it has met every code at
-a distance below ``s * (r + 1)``. It is done when its k-th verified distance is
-below that; the others go on to the next radius.
+with 0, 1, 2, ... flipped bits. With radius ``r`` in the first ``j`` segments
+and ``r - 1`` in the others it has met every code at a distance below
+``s * r + j``. It is done when its k-th verified distance is below that; the
+others go on. Candidates beyond the k-th distance found so far are dropped in
+the join itself; the first segment alone gives the first such bound.
 
 Equal codes are one entry with its smallest ids, so copies are not multiplied.
 """
@@ -63,6 +65,14 @@ def _first_met_here(difference: Column, width: int, radius: int) -> Column:
     return whole
 
 
+def _steps(width: int, count: int) -> list[tuple[int, int, int]]:
+    """Radius and first and last segment of each step: one segment, the others, then halves."""
+    half = (count - 1) // 2
+    return [(0, 0, 0), (0, 1, count - 1)] + [
+        (radius, *part) for radius in range(1, width + 1) for part in ((0, half), (half + 1, count - 1))
+    ]
+
+
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``distance``: the k nearest of ``rows`` to each of ``queries``.
 
@@ -89,15 +99,17 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     asked = queries.select("vec_id", "code").where("vec_id IS NOT NULL AND code IS NOT NULL").distinct()
     active = asked.select(F.col("code").alias("query")).distinct().withColumn("bound", F.lit(BITS))
     best: DataFrame | None = None
-    for radius in range(width + 1):
+    for radius, first, last in _steps(width, count):
         parts = F.posexplode(F.array(*_segments(F.col("query"), width))).alias("segment", "own")
         flips = F.array(*[F.lit(sum(1 << i for i in bits)).cast("long") for bits in itertools.combinations(range(width), radius)])
         probes = (
             active.select("query", "bound", parts)
+            .where(F.col("segment").between(first, last))
             .select("query", "bound", "segment", F.explode(F.transform(flips, lambda m: m.bitwiseXOR(F.col("own")))).alias("value"))
         )
         difference = F.col("query").bitwiseXOR(F.col("code"))
-        met = probes.join(
+        # Probes unfold from a few rows, so their size is not known before: without the hint they may be broadcast.
+        met = probes.hint("merge").join(
             index,
             (probes["segment"] == index["segment"])
             & (probes["value"] == index["value"])
@@ -117,9 +129,9 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.struct("distance", "vec_id"))).alias("near")),
             "best",
         )
-        covered = count * (radius + 1) - 1
-        last = F.when(F.size("near") > k, F.element_at("near", k + 1)["distance"]).otherwise(BITS)
-        state = active.select("query").join(best, "query", "left").select("query", F.coalesce(last, F.lit(BITS)).alias("bound"))
+        covered = count * radius + last
+        kth = F.when(F.size("near") > k, F.element_at("near", k + 1)["distance"]).otherwise(BITS)
+        state = active.select("query").join(best, "query", "left").select("query", F.coalesce(kth, F.lit(BITS)).alias("bound"))
         active = pin(state.where(F.col("bound") > covered), "active")
         if active.isEmpty():
             break
