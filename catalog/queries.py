@@ -253,6 +253,32 @@ def rule_drivers(spark: SparkSession, folder: str) -> DataFrame:
     return _rule_scores(spark, folder).select("mine_key", "period_key", "model_version", *scoring.DRIVER_COLUMNS)
 
 
+def scaler_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean and deviation that each split's logistic model scales its features with."""
+    training = pin(panel.training_view(_panel(spark, folder)), "training")
+    fitted = scoring.population_scaler(training, YEARS, panel.FEATURES)
+    rows = [(year, name, float(mean), float(scale)) for year, of in fitted.items() for name, (mean, scale) in of.items()]
+    return _rounded(_plain(spark.createDataFrame(rows, "year int, feature string, mean double, scale double")), "mean", "scale")
+
+
+def stored_score_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored scores of each split that meet a training row of its year."""
+    training = pin(panel.training_view(_panel(spark, folder)), "training")
+    scores = pin(_stored_scores(spark, folder, training), "scores")
+    counts = [
+        checks.stored_score_count(scores, training, scoring.model_version("rule_score", year), year).select(
+            F.lit(year).alias("year"), "row_count"
+        )
+        for year in YEARS
+    ]
+    return _plain(reduce(DataFrame.unionByName, counts))
+
+
+def backtest_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Input of the metrics, measured as if the last split were not expected."""
+    return _plain(checks.backtest_checks(_rule_scores(spark, folder), YEARS[:2]))
+
+
 def logistic_scores(spark: SparkSession, folder: str) -> DataFrame:
     training = pin(panel.training_view(_panel(spark, folder)), "training")
     return scoring.score_logistic(training, YEARS).rows
@@ -321,6 +347,18 @@ def kpi_latest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def kpi_listing(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(
+        _plain(reports.kpi_listing(reports.kpi_summary(_stored_scores(spark, folder)))),
+        "avg_risk_score", "median_risk_score", "high_or_critical_risk_share", "flagged_positive_precision",
+    )
+
+
+def score_trend(spark: SparkSession, folder: str) -> DataFrame:
+    kpis = reports.kpi_summary(_stored_scores(spark, folder))
+    return _rounded(_plain(reports.score_trend(kpis, scoring.model_version("rule_score", YEARS[1]))), "avg_risk_score")
+
+
 def _top_risk(spark: SparkSession, folder: str) -> DataFrame:
     mines = star_tables.load_mines(spark, folder)
     features = pin(panel.feature_view(_panel(spark, folder)), "features")
@@ -539,6 +577,9 @@ def queries() -> dict[str, Query]:
         "dq_labels": dq_labels,
         "dq_features": dq_features,
         "score_checks": score_checks,
+        "scaler_stats": scaler_stats,
+        "stored_score_count": stored_score_count,
+        "backtest_checks": backtest_checks,
         "rule_bounds": rule_bounds,
         "rule_scores": rule_scores,
         "rule_drivers": rule_drivers,
@@ -552,6 +593,8 @@ def queries() -> dict[str, Query]:
         "rolling_backtest": rolling_backtest,
         "kpi_summary": kpi_summary,
         "kpi_latest": kpi_latest,
+        "kpi_listing": kpi_listing,
+        "score_trend": score_trend,
         "top_risk": top_risk,
         "top_risk_listing": top_risk_listing,
         "entity_detail": entity_detail,
