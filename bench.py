@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 import json
 import os
+import tempfile
 import time
 
 from periodlens.session import get_session, release_pins
@@ -41,6 +42,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="periodlens-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

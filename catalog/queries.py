@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,7 +15,7 @@ from periodlens.functions.numbers import age_hours, guarded_ratio
 from periodlens.functions.period import next_period_key, period_of_date, period_quarter, period_year
 from periodlens.operators import checks, metrics, ordering, panel, scoring
 from periodlens.plans import backtest, reports, staging, warehouse
-from periodlens.session import pin, shared_folder
+from periodlens.session import pin, scratch_path
 from periodlens.sources import star_tables
 from periodlens.sources.delimited import read_delimited
 
@@ -495,7 +494,7 @@ def clean_scalars(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, folder: str, dataset: staging.Dataset) -> staging.Staged:
-    target = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}/{dataset.name}"
+    target = f"{scratch_path(spark, 'raw')}/{dataset.name}"
     star_tables.write_raw_file(spark, folder, dataset.name, target)
     rows = read_delimited(spark, target)
     return staging.stage_rows(rows, dataset, "run", f"{dataset.name}.txt", AS_OF)
@@ -540,7 +539,7 @@ def staging_faults(spark: SparkSession, folder: str) -> DataFrame:
         .when(fault == 4, F.array(F.concat_ws("|", key, F.lit("Deep"), F.lit("AL"), F.lit("north"))))
         .otherwise(F.array(line))
     )
-    target = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}/faults"
+    target = f"{scratch_path(spark, 'raw')}/faults"
     raw = spark.read.parquet(f"{folder}/part.parquet").select(F.explode(lines).alias("MINE_ID|MINE_NAME|STATE|LATITUDE"))
     raw.write.option("header", True).option("quote", "").option("sep", "\x01").csv(target)
     staged = staging.stage_rows(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -37,6 +38,7 @@ def main() -> int:
     settings = {
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "12g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="periodlens-"),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -124,27 +124,28 @@ def count_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()
     )
 
 
-def exact_quantiles(counted: DataFrame, groups: Sequence[str], fractions: Mapping[str, float]) -> DataFrame:
+def exact_quantiles(
+    counted: DataFrame, groups: Sequence[str], fractions: Mapping[str, float], copies: Sequence[str] = ("copies",)
+) -> DataFrame:
     """Linear-interpolated quantiles of counted values, one row per group.
 
-    ``counted`` holds ``value`` and ``copies``; ``fractions`` names the result
-    columns. A value may come in a few rows of one group.
+    ``counted`` holds ``value`` and its number of copies; ``fractions`` names
+    the result columns. A value may come in a few rows of one group. With
+    several ``copies`` columns the quantiles of each are found on one sort, in
+    columns named ``<copies>_<fraction>``; a column without copies gives NULL.
     """
-    ranked = running_totals(counted, groups, ["value"], {"upto": "copies"})
-    picked = []
-    for label, fraction in fractions.items():
-        position = F.lit(float(fraction)) * (F.col("upto_all") - 1)
-        for side, index in (("low", F.floor(position)), ("high", F.ceil(position))):
-            holds = (F.col("upto") - F.col("copies") <= index) & (index < F.col("upto"))
-            picked.append(F.max(F.when(holds, F.col("value"))).alias(f"{label}_{side}"))
-        picked.append(F.max(position - F.floor(position)).alias(f"{label}_part"))
+    ranked = running_totals(counted, groups, ["value"], {f"upto_{name}": name for name in copies})
+    picked, results = [], {}
+    for name in copies:
+        upto, total = F.col(f"upto_{name}"), F.col(f"upto_{name}_all")
+        for label, fraction in fractions.items():
+            own = label if len(copies) == 1 else f"{name}_{label}"
+            position = F.lit(float(fraction)) * (total - 1)
+            for side, index in (("low", F.floor(position)), ("high", F.ceil(position))):
+                holds = (upto - F.col(name) <= index) & (index < upto)
+                picked.append(F.max(F.when(holds, F.col("value"))).alias(f"{own}_{side}"))
+            picked.append(F.max(position - F.floor(position)).alias(f"{own}_part"))
+            low, high = F.col(f"{own}_low"), F.col(f"{own}_high")
+            results[own] = low + (high - low) * F.col(f"{own}_part")
     found = ranked.groupBy(*groups).agg(*picked)
-    return found.select(
-        *groups,
-        *[
-            (
-                F.col(f"{label}_low") + (F.col(f"{label}_high") - F.col(f"{label}_low")) * F.col(f"{label}_part")
-            ).alias(label)
-            for label in fractions
-        ],
-    )
+    return found.select(*groups, *[value.alias(name) for name, value in results.items()])

@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodlens.operators.ordering import count_values, exact_quantiles
+from periodlens.operators.ordering import exact_quantiles
 from periodlens.operators.panel import FEATURES, LABEL
 
 # Band limits, rule weights, quantiles and driver wording.
@@ -216,15 +216,35 @@ def rule_bounds(
 ) -> DataFrame:
     """Exact outer quantiles per feature over the years before each validation year.
 
-    Values are counted once per calendar year and then shared by all windows.
+    A value is one row, with its copies before each validation year beside it,
+    so the rows that are sorted do not depend on the number of years.
     """
-    counted = count_values(
-        impute_zero(training.where(F.col("year") < max(years)), features), features, keep=["year"]
+    imputed = impute_zero(training.where(F.col("year") < max(years)), features)
+    pairs = F.array(
+        *[F.struct(F.lit(f).alias("name"), F.col(f).cast("double").alias("value")) for f in features]
     )
-    later = F.filter(F.array(*[F.lit(y) for y in years]), lambda y: y > F.col("year"))
-    windows = counted.select(F.explode(later).alias("validation_year"), "name", "value", "copies")
-    return exact_quantiles(
-        windows, ["validation_year", "name"], {"p05": LOWER_QUANTILE, "p95": UPPER_QUANTILE}
+    copies = {f"before_{year}": F.count_if(F.col("year") < year) for year in years}
+    counted = (
+        imputed.select("year", F.explode(pairs).alias("pair"))
+        .select("year", "pair.*")
+        .where(F.col("value").isNotNull())
+        .groupBy("name", "value")
+        .agg(*[count.alias(name) for name, count in copies.items()])
+    )
+    fractions = {"p05": LOWER_QUANTILE, "p95": UPPER_QUANTILE}
+    found = exact_quantiles(counted, ["name"], fractions, list(copies))
+    one = len(copies) == 1
+    rows = [
+        F.struct(
+            F.lit(year).alias("validation_year"),
+            *[F.col(label if one else f"before_{year}_{label}").alias(label) for label in fractions],
+        )
+        for year in years
+    ]
+    return (
+        found.select("name", F.explode(F.array(*rows)).alias("row"))
+        .select("row.validation_year", "name", "row.p05", "row.p95")
+        .where("p05 IS NOT NULL")
     )
 
 

@@ -55,6 +55,11 @@ def _pin_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/pins-{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, removed by ``release_pins``."""
+    return f"{_pin_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def pin(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -65,13 +70,13 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = f"{_pin_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release_pins(spark: SparkSession) -> None:
-    """Remove all tables this application pinned. Call after the last action."""
+    """Remove all tables and scratch files of this application. Call after the last action."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_pin_root(spark))
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if files.exists(path):
