@@ -38,7 +38,7 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 _FILTER_BITS = 26
-_CROWD, _BLOCK = 64, 256
+_CROWD, _BLOCK = 64, 512
 
 _seeds = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _factors = mix64(_seeds) | np.uint64(1)
