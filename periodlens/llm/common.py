@@ -22,17 +22,24 @@ def held_out(modulus: int, remainder: int, key: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def sliced(batch: pa.RecordBatch, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Parts of ``batch`` of about ``limit`` bytes, so that what is made of them stays small; one part at least."""
+    rows = max(1, batch.num_rows // max(1, -(-batch.nbytes // limit)))
+    for at in range(0, max(1, batch.num_rows), rows):
+        yield batch.slice(at, rows)
+
+
 def with_columns_from_arrow(
     df: DataFrame, added: T.StructType, function: Callable[[pa.RecordBatch], list[pa.Array]]
 ) -> DataFrame:
-    """Run ``function`` on each Arrow batch and put its arrays beside the batch's columns.
+    """Run ``function`` on slices of the Arrow batches and put its arrays beside their columns.
 
     Columns of ``df`` that bear one of the added names are replaced.
     """
     kept = df.drop(*added.names)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             arrays = function(batch)
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *added.names])
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodlens.llm.common import hash_words, mix64, texts_as_bytes, with_columns_from_arrow
+from periodlens.llm.common import hash_words, mix64, sliced, texts_as_bytes, with_columns_from_arrow
 from periodlens.llm.components import connected_components
 from periodlens.session import pin
 
@@ -197,7 +197,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         bits = bitmap.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             at = batch["_place"].to_numpy()
             hit = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
             batch = batch.filter(pa.array(hit))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from periodlens.llm.common import hash_words_and_endings, mix64, texts_as_bytes
+from periodlens.llm.common import hash_words_and_endings, mix64, sliced, texts_as_bytes
 from periodlens.session import pin
 
 HEAD, CLASSES, WIDTH = 256, 256, 32
@@ -73,7 +73,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                 [pa.array(kinds.view(np.int64)), pa.array(classes.astype(np.int32)), pa.array(n)], ["word", "class", "n"]
             )
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             hashes, classes, _ = _tokens(texts_as_bytes(batch["text"]))
             kinds, first, n = np.unique(hashes, return_index=True, return_counts=True)
             held.append((kinds, classes[first], n))
@@ -258,7 +258,7 @@ def fit(docs: DataFrame, vocabulary: Vocabulary, share: float = 0.25, rounds: in
 
         def train(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
             trainer = Trainer(Parameters.unflatten(shared.value), known.value.unigram, rate / (1 + turn), turn)
-            for batch in batches:
+            for batch in (part for whole in batches for part in sliced(whole)):
                 hashes, classes, owners = _tokens(texts_as_bytes(batch["text"]))
                 symbols, _, _ = known.value.look_up(hashes, classes)
                 trainer.learn(*_contexts(symbols, owners), symbols)
@@ -327,7 +327,7 @@ def score(docs: DataFrame, counted: DataFrame, vocabulary: Vocabulary, least: in
         words, model = known.value
         all_mass = math.log10(words.tokens + words.kinds + 1)
         class_mass = np.log10(words.class_mass)
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             texts = texts_as_bytes(batch["text"])
             n = len(texts)
             hashes, classes, owners = _tokens(texts)
