@@ -61,11 +61,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     vocabulary = byte_bpe.read_vocabulary(path, public_tokenizers.PATTERN)
-    encoded = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary)
-    decoded = byte_bpe.decode(encoded, vocabulary)
-    return decoded.selectExpr(
-        "doc_id", "lang", "source", "n_tokens", "tokens", "decoded = cast(coalesce(text, '') as binary) AS whole"
-    )
+    # One pass: a second one would double the Python workers and pass all ids through Arrow again.
+    encoded = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, check=True)
+    return encoded.select("doc_id", "lang", "source", "n_tokens", "tokens", "whole")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

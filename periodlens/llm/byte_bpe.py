@@ -289,19 +289,27 @@ def _texts(column: pa.Array) -> list[str]:
     return ["" if value is None else value.decode("utf-8", "replace") for value in column.cast(pa.binary()).to_pylist()]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, check: bool = False) -> DataFrame:
     """Add ``tokens`` (ids) and ``n_tokens`` for ``text``; a null text counts as empty.
 
+    With ``check`` also ``whole``: whether decoding the ids gives the text back.
+
     Whole texts of any length are encoded. Input columns with these names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def apply(batch: pa.RecordBatch) -> list[pa.Array]:
-        ids = _coder(shared.value).encode(_texts(batch["text"]))
-        return [pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+        coder, texts = _coder(shared.value), _texts(batch["text"])
+        ids = coder.encode(texts)
+        arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+        if check:
+            same = [b"".join(parts) == text.encode() for parts, text in zip(coder.decode(ids), texts, strict=True)]
+            arrays.append(pa.array(same, pa.bool_()))
+        return arrays
 
     added = T.StructType(
         [T.StructField("tokens", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+        + [T.StructField("whole", T.BooleanType())] * check
     )
     return with_columns_from_arrow(docs, added, apply)
 
@@ -311,7 +319,10 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def apply(batch: pa.RecordBatch) -> list[pa.Array]:
-        rows = [np.array(row if row is not None else [], np.int32) for row in batch["tokens"].to_pylist()]
+        rows = [
+            np.asarray(row if row is not None else [], np.int32)
+            for row in batch["tokens"].to_numpy(zero_copy_only=False)
+        ]
         return [pa.array([b"".join(parts) for parts in _coder(shared.value).decode(rows)], pa.binary())]
 
     return with_columns_from_arrow(encoded, T.StructType([T.StructField("decoded", T.BinaryType())]), apply)
