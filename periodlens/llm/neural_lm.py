@@ -195,11 +195,13 @@ def starting_parameters(unigram: np.ndarray) -> Parameters:
     )
 
 
-def _add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """``table[rows] += values`` where rows repeat."""
+def _sum_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows``, in order, and the sum of the ``values`` of each."""
+    rows = rows.astype(np.uint16 if SYMBOLS < 1 << 16 else np.int64)  # short integers are sorted by radix
     order = np.argsort(rows, kind="stable")
-    kinds, starts = np.unique(rows[order], return_index=True)
-    table[kinds] += np.add.reduceat(values[order], starts, axis=0)
+    ordered = rows[order]
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    return ordered[starts], np.add.reduceat(values.take(order, axis=0), starts, axis=0)
 
 
 class Trainer:
@@ -220,37 +222,47 @@ class Trainer:
         self.tokens += len(target)
 
     def _step(self, before: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> None:
-        p, size = self.p, np.float32(1 / len(target))
+        p = self.p
         noise = np.minimum(np.searchsorted(self.steps, self.random.random(_NOISE)), SYMBOLS - 1)
-        near, far = p.vectors[before], p.vectors[earlier]
-        predicted = near @ p.first + far @ p.second
-        own = (predicted * p.output[target]).sum(axis=1) + p.bias[target] - self.log_noise[target]
-        other = predicted @ p.output[noise].T + p.bias[noise] - self.log_noise[noise]
-        g_own = (1 / (1 + np.exp(-np.clip(own, -30, 30))) - 1) * size
-        g_other = 1 / (1 + np.exp(-np.clip(other, -30, 30))) * size
-        g_predicted = g_own[:, None] * p.output[target] + g_other @ p.output[noise]
+        # Contexts are few: their vectors are multiplied once each, gradients added up for each before products.
+        predicted = (p.vectors @ p.first).take(before, axis=0)
+        predicted += (p.vectors @ p.second).take(earlier, axis=0)
+        outputs, noise_outputs = p.output.take(target, axis=0), p.output[noise]
+        own = np.einsum("ij,ij->i", predicted, outputs) + (p.bias - self.log_noise)[target]
+        g_own = 1 / (1 + np.exp(-np.clip(own, -30, 30))) - 1
+        g_other = predicted @ noise_outputs.T
+        g_other += p.bias[noise] - self.log_noise[noise]
+        np.clip(g_other, -30, 30, out=g_other)
+        np.negative(g_other, out=g_other)
+        np.exp(g_other, out=g_other)
+        g_other += 1
+        np.reciprocal(g_other, out=g_other)
+        outputs *= g_own[:, None]
+        outputs += g_other @ noise_outputs
         gradients = [np.zeros_like(a) for a in p.arrays()]
-        _add_rows(gradients[0], before, g_predicted @ p.first.T)
-        _add_rows(gradients[0], earlier, g_predicted @ p.second.T)
-        gradients[1] += near.T @ g_predicted
-        gradients[2] += far.T @ g_predicted
-        _add_rows(gradients[3], target, g_own[:, None] * predicted)
-        _add_rows(gradients[3], noise, g_other.T @ predicted)
+        for place, rows, matrix in ((1, before, p.first), (2, earlier, p.second)):
+            kinds, sums = _sum_rows(rows, outputs)
+            gradients[0][kinds] += sums @ matrix.T
+            gradients[place] += p.vectors[kinds].T @ sums
+        np.add.at(gradients[3], noise, g_other.T @ predicted)
+        predicted *= g_own[:, None]
+        kinds, sums = _sum_rows(target, predicted)
+        gradients[3][kinds] += sums
         gradients[4] += np.bincount(target, weights=g_own, minlength=SYMBOLS).astype(np.float32)
         gradients[4] += np.bincount(noise, weights=g_other.sum(axis=0), minlength=SYMBOLS).astype(np.float32)
         for values, squares, gradient in zip(p.arrays(), self.squares, gradients, strict=True):
-            squares += (gradient * len(target)) ** 2 * np.float32(1e-3)
-            values -= np.float32(self.rate) * gradient * len(target) * np.float32(0.03) / np.sqrt(squares)
+            squares += gradient**2 * np.float32(1e-3)
+            values -= np.float32(self.rate * 0.03) * gradient / np.sqrt(squares)
 
 
-def fit(docs: DataFrame, vocabulary: Vocabulary, share: float = 0.25, rounds: int = 2, rate: float = 0.08) -> Parameters:
-    """Train on the fixed ``share`` of ``docs`` that a hash of the text picks, so the work grows with the corpus.
+def fit(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, rate: float = 0.08) -> Parameters:
+    """Train on all texts of ``docs`` in every round.
 
     In each round every partition trains a copy; copies are averaged in tasks
     first, the driver adds up at most the square root of their number.
     """
     spark = docs.sparkSession
-    sample = docs.select("text").where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    texts = docs.select("text")
     parameters = starting_parameters(vocabulary.unigram)
     known = spark.sparkContext.broadcast(vocabulary)
     for turn in range(rounds):
@@ -275,7 +287,7 @@ def fit(docs: DataFrame, vocabulary: Vocabulary, share: float = 0.25, rounds: in
                 yield _weighted(total, weight)
 
         kind = "total binary, weight double"
-        copies = sample.mapInArrow(train, kind)
+        copies = texts.mapInArrow(train, kind)
         groups = max(1, math.isqrt(copies.rdd.getNumPartitions()))
         sums = copies.repartition(groups).mapInArrow(add_up, kind).collect()
         weight = sum(row.weight for row in sums)

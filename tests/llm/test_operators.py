@@ -440,6 +440,17 @@ def test_language_model_without_training_rows(spark):
     assert neural_lm.score_texts(docs.where("false"), docs).count() == 0
 
 
+def test_language_model_learns_from_every_text(spark):
+    docs = documents(spark, [f"text number {i} of a small set" for i in range(40)])
+    vocabulary, _ = neural_lm.build_vocabulary(neural_lm.count_words(docs))
+    # Texts of all residues of the hash that a share of the corpus was once picked by.
+    residue = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20))
+    start = neural_lm.starting_parameters(vocabulary.unigram).flat()
+    for quarter in range(4):
+        some = docs.where((residue >= quarter << 18) & (residue < (quarter + 1) << 18))
+        assert some.count() > 0 and (neural_lm.fit(some, vocabulary, rounds=1).flat() != start).any()
+
+
 # --- pipeline and SQL -----------------------------------------------------------------------------------------------
 
 
