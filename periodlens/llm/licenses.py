@@ -9,6 +9,9 @@ often one line of a longer text. All columns are DataFrame expressions.
 
 from __future__ import annotations
 
+from importlib import resources
+from itertools import product
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +60,110 @@ KNOWN_TEXTS = [
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
     ("proprietary", "All rights reserved."),
 ]
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: {0}Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. {1}Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. {2}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {3} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS "
+    "OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ENDORSE = (
+    "Neither the name of the copyright {} nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission. "
+)
+# Title lines that stand above a licence in its usual files.
+_TITLES = {
+    "MIT": ["MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "BSD License"],
+}
+_APACHE_HEADER = [
+    'Licensed under the Apache License, Version 2.0 (the "License");',
+    "you may not use this file except in compliance with the License.",
+    "You may obtain a copy of the License at {}://www.apache.org/licenses/LICENSE-2.0",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+    '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific '
+    "language governing permissions and limitations under the License.",
+]
+_GNU_HEADER = (
+    "This {work} is free software{stop} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public "
+    "License as published by the Free Software Foundation{stop} either version {version} of the License, or (at your option) "
+    "any later version. This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+    "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for "
+    "more details. You should have received a copy of the GNU {kind}General Public License along with this {work}{end}"
+)
+_GNU = [("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3")]
+_FSF = [
+    "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+    "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+    "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA",
+]
+_END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+_MPL_HEADER = (
+    "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+    "distributed with this\nfile, You can obtain one at {}://mozilla.org/MPL/2.0/."
+)
+_SPDX = {
+    **{name: [name] for name in ("MIT", "ISC", "0BSD", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Unlicense")},
+    **{name: [name] for name in ("CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0")},
+    **{name: [name, f"{name}-only", f"{name}-or-later", f"{name}+"] for name, _, _ in _GNU},
+}
+
+
+def _from_files() -> list[tuple[str, str]]:
+    """The long licences, as they are published, with and without their appendix and with other addresses and links."""
+    found = []
+    folder = resources.files("periodlens.llm") / "license_texts"
+    for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"):
+        text = (folder / f"{name}.txt").read_text(encoding="utf-8")
+        forms = [text]
+        if _END_OF_TERMS in text:
+            forms.append(text[: text.index(_END_OF_TERMS) + len(_END_OF_TERMS)])
+        if name == "Apache-2.0":  # once filled in, this line is a copyright line
+            forms.append("\n".join(line for line in text.split("\n") if "[yyyy]" not in line))
+            forms.append(text[: text.index(_END_OF_TERMS)])
+        if name in ("GPL-2.0", "LGPL-2.1"):
+            forms = [form.replace(_FSF[0], address) for form in forms for address in _FSF]
+        forms += [form.replace("https://", "http://") for form in forms] + [
+            form.replace("https://", "http://").replace("http://", "https://") for form in forms
+        ]
+        found += [(name, form) for form in dict.fromkeys(forms)]
+    return found
+
+
+def _more_texts() -> list[tuple[str, str]]:
+    """Whole licences and headers in their usual forms, beside the fixed list."""
+    numbers = [("1. ", "2. ", "3. "), ("", "", ""), ("(1) ", "(2) ", "(3) "), ("a. ", "b. ", "c. ")]
+    whole = [(name, text) for name, text in KNOWN_TEXTS[:3]]
+    for (one, two, three), holder in product(numbers, ("HOLDER", "OWNER")):
+        whole.append(("BSD-2-Clause", _BSD.format(one, two, "", holder)))
+        for who in ("holder", "owner"):
+            whole.append(("BSD-3-Clause", _BSD.format(one, two, three + _ENDORSE.format(who), holder)))
+    more = whole[3:] + [(name, f"{title}\n{text}") for name, text in whole for title in _TITLES[name]]
+    for link in ("http", "https"):
+        header = "\n".join(_APACHE_HEADER).format(link)
+        more += [("Apache-2.0", header), ("MPL-2.0", _MPL_HEADER.format(link))]
+        more.append(("MPL-2.0", _MPL_HEADER.format(link).split("\n")[2]))
+        for (name, kind, version), work, stop in product(_GNU, ("program", "library"), (";", ":")):
+            ends = [f". If not, see <{link}://www.gnu.org/licenses/>."]
+            ends += [f"; if not, write to the Free Software Foundation, Inc., {address}." for address in _FSF]
+            more += [(name, _GNU_HEADER.format(work=work, stop=stop, kind=kind, version=version, end=end)) for end in ends]
+    # Lines that tell the licence by themselves.
+    more += [("Apache-2.0", _APACHE_HEADER[0]), ("Apache-2.0", " ".join(_APACHE_HEADER[:2]))]
+    more.append(("MPL-2.0", _MPL_HEADER.split("\n")[1]))
+    more += [(name, f"SPDX-License-Identifier: {text}") for name, texts in _SPDX.items() for text in texts]
+    return list(dict.fromkeys(more))
+
+
+KNOWN_TEXTS += _from_files() + _more_texts()
 # Fixed equivalent spellings.
 SPELLINGS = [
     ("licen[cs]ed", "licensed"),

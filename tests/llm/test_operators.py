@@ -159,6 +159,29 @@ def test_licenses(spark):
     assert licenses.scan(docs.where("false")).count() == 0
 
 
+def test_usual_licence_files_and_headers(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    files = {path.stem: path.read_text() for path in sorted(folder.glob("*.txt"))}
+    apache = files["Apache-2.0"]
+    known = dict(reversed(licenses.KNOWN_TEXTS[:3]))
+    bsd = licenses._BSD.format("1. ", "2. ", "3. " + licenses._ENDORSE.format("holder"), "HOLDER")
+    header = apache[apache.index("   Licensed under the Apache License, Version 2.0 (the") :]
+    wanted = [
+        *files.items(),
+        ("MIT", "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + known["MIT"]),
+        ("MIT", "(The MIT License)\n\nCopyright (c) 2020 A. Person\n\n" + known["MIT"]),
+        ("ISC", "ISC License\n\nCopyright (c) 2020, A. Person\n\n" + known["ISC"]),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, A. Person\n\n" + bsd),
+        ("Apache-2.0", apache[: apache.index("   APPENDIX")]),
+        ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 A. Person")),
+        ("Apache-2.0", "Copyright 2020 A. Person\n\n" + header),
+    ]
+    docs = documents(spark, [*(text for _, text in wanted), "# " + header.replace("\n", "\n# ") + "\nx = 1\n", "// SPDX-License-Identifier: MIT\nx"])
+    rows = sorted(licenses.scan(docs).collect(), key=lambda r: r.doc_id)
+    assert [row.license for row in rows] == [*(name for name, _ in wanted), None, None]
+    assert [row.notices for row in rows[-2:]] == ["Apache-2.0", "MIT"]
+
+
 # --- 3 --------------------------------------------------------------------------------------------------------------
 
 
