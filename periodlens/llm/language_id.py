@@ -181,7 +181,8 @@ def fit(labelled: DataFrame, sample_bytes: int = 4_000_000, max_contexts: int =
 
     The fit reads whole texts, chosen by a hash of the text, of about
     ``sample_bytes`` for each language, and keeps ``max_contexts`` contexts of
-    three bytes, so neither the counts nor the model grow with the corpus.
+    three bytes, so neither the counts nor the model grow with the corpus. All
+    counts of the sample are used, also those of bytes seen once.
     """
     usable = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = usable.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("held")).collect()
@@ -210,7 +211,6 @@ def fit(labelled: DataFrame, sample_bytes: int = 4_000_000, max_contexts: int =
         sample.mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") > 1)
         .toArrow()
     )
     order = {lang: i for i, lang in enumerate(languages)}

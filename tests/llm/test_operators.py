@@ -95,6 +95,18 @@ def test_language_edges(spark):
     assert language_id.identify(docs.where("false"), model).count() == 0
 
 
+def test_language_with_little_text_keeps_what_was_seen_once(spark):
+    english = [f"the cat number {i} and the dog sat here" for i in range(40)]
+    docs = documents(spark, [*english, "der flinke hund jagt bunte vögel"], lang=["en"] * 40 + ["de"])
+    model = language_id.fit(docs)
+    rows = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    assert rows[40].lang_pred == "de" and rows[40].bits_per_byte < 8 and rows[0].lang_pred == "en"
+    # Nothing repeats: the texts still teach their languages, and the pipeline keeps them.
+    tiny = documents(spark, ["quick fox", "jagd zum"], lang=["en", "de"])
+    found = language_id.identify(tiny, language_id.fit(tiny))
+    assert [r.lang_pred for r in found.where(language_id.accepted()).orderBy("doc_id").collect()] == ["en", "de"]
+
+
 def test_code_lengths_are_normalised_and_alike_in_pieces(spark):
     model = language_id.fit(common.read_table(spark, FOLDER, "documents"))
     kinds = sorted(set(language_id._FOLD.tolist()))
