@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, toxicity, url_filter
+from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, secret_scan, toxicity, url_filter
 from periodlens.llm.common import held_out, read_table
 from periodlens.session import pin
 
@@ -77,6 +77,11 @@ def op10_neural_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neural_lm.score_texts(docs, docs.where("NOT held_out"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base kinds, spans of all kinds."""
+    return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_neural_lm": op10_neural_lm,
+        "op11_secret_scan": op11_secret_scan,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -98,5 +104,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_code_search": code_search.oracle_sql(),
         "op4_licenses": licenses.oracle_sql(),
         "op6_mixing": mixing.oracle_sql(),
+        "op11_secret_scan": secret_scan.oracle_sql(),
         **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     }
