@@ -75,6 +75,14 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove one table or file of this application's scratch folder, once nothing will read it again."""
+    if not path.startswith(_pin_root(spark) + "/"):
+        raise ValueError(f"not a scratch path: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release_pins(spark: SparkSession) -> None:
     """Remove all tables and scratch files of this application. Call after the last action."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_pin_root(spark))
