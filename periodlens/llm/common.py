@@ -118,6 +118,15 @@ def _hash_piece(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix64(hashes + (ends - starts).astype(np.uint64)), starts, endings
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes between ``starts`` and ``ends``; equal bytes have equal hashes, wherever they stand."""
+    up, down = _power_table(len(data) + 1)
+    sums = np.empty(len(data) + 1, dtype=np.uint64)
+    sums[0] = 0
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def hash_words(texts: list[bytes], limit: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, A-Z lower-cased, and where each text's words begin.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, secret_scan, toxicity, url_filter
+from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, phrases, secret_scan, toxicity, url_filter
 from periodlens.llm.common import held_out, read_table
 from periodlens.session import pin
 
@@ -82,6 +82,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language, over all documents."""
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_near_dedup": op9_near_dedup,
         "op10_neural_lm": op10_neural_lm,
         "op11_secret_scan": op11_secret_scan,
+        "op12_phrases": op12_phrases,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -105,5 +111,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_licenses": licenses.oracle_sql(),
         "op6_mixing": mixing.oracle_sql(),
         "op11_secret_scan": secret_scan.oracle_sql(),
+        "op12_phrases": phrases.oracle_sql(),
         **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     }
