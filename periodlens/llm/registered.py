@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, phrases, secret_scan, toxicity, url_filter
+from periodlens.llm import byte_bpe, code_search, embedding_dedup, language_id, licenses, mixing, near_dedup, neural_lm, phrases, secret_scan, spelling, toxicity, url_filter
 from periodlens.llm.common import held_out, read_table
 from periodlens.session import pin
 
@@ -87,6 +87,11 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    return spelling.variants(spelling.count_words(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -101,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_neural_lm": op10_neural_lm,
         "op11_secret_scan": op11_secret_scan,
         "op12_phrases": op12_phrases,
+        "op13_spelling": op13_spelling,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -112,5 +118,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": mixing.oracle_sql(),
         "op11_secret_scan": secret_scan.oracle_sql(),
         "op12_phrases": phrases.oracle_sql(),
+        "op13_spelling": spelling.oracle_sql(),
         **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     }
