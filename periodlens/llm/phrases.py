@@ -75,7 +75,7 @@ def _block(data: bytes, bounds: np.ndarray, counted_bytes: int) -> Words:
     return Words(lower, starts, ends, piece, text, int(np.searchsorted(starts, counted_bytes)))
 
 
-def blocks(texts: list[bytes], limit: int = 1 << 22) -> Iterator[Words]:
+def blocks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[Words]:
     """The words of all texts, in blocks of about ``limit`` bytes.
 
     Several texts are joined by a line feed, which ends a piece. A longer text
