@@ -7,10 +7,16 @@ table, contracts the leftmost pair of the lowest rank, and ends when no piece
 has a pair left. Decoding joins ids with the vocabulary and aggregates the
 bytes in order of position.
 
-A partition encodes each distinct piece once. Pieces of over 256 bytes take
-the same step in a loop of statements that keeps the last state only, as the
-recursion keeps all; there all copies of the lowest pair are contracted at
-once unless a merge with the new token could have a lower rank.
+A worker keeps the ids of pieces it has met, those met again longest. A long
+piece is cut into chunks that are encoded side by side. Token ids are right for
+a whole if each two neighbours are what encoding their joined bytes gives, so
+only the seams between chunks are looked at: where two neighbours are not
+right, a window around them is encoded anew, and grows until its edges are. So
+the work grows with the piece's length. A window that has grown beyond a chunk
+(the same letters over and over) takes the same step in a loop of statements
+that keeps the last state only, as the recursion keeps all; there all copies of
+the lowest pair are contracted at once unless a merge with the new token could
+have a lower rank.
 """
 
 from __future__ import annotations
@@ -26,12 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from periodlens.llm.common import with_columns_from_arrow
+from periodlens.llm.common import kept_for, with_columns_from_arrow
 
-_LONG = 256
-_CACHED = 1_000_000
-_BATCH_WORDS = 300_000
-_BATCH_NEW = 40_000
+#: Bytes of a chunk and of the widest window of a recursion, rows that a recursion may keep, and pieces that a worker
+#: keeps and looks up at once: they bound memory and leave results as they are.
+_CHUNK = 64
+_WIDEST = 512
+_ROWS = 3_000_000
+_CACHED = 300_000
+_BATCH_WORDS = 100_000
+_MEMORY = "512MB"
 _DECODE_ROWS = 1_000_000
 
 _RECURSION = """
@@ -107,9 +117,12 @@ class Coder:
         self.ranks = {token: rank for rank, token in enumerate(self.tokens)}
         self.byte_tokens = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.pieces = regex.compile(vocabulary.pattern)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "temp_directory": ""})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "temp_directory": "", "memory_limit": _MEMORY})
         self.db.execute("SET preserve_insertion_order = false")
         self._load_tables()
+        self.known: dict[str, int] = {}
+        self.starts, self.lengths, self.asked = (np.zeros(0, np.int64) for _ in range(3))
+        self.flat = np.zeros(0, np.int32)
         self._forget()
 
     def _load_tables(self) -> None:
@@ -135,9 +148,16 @@ class Coder:
             self.db.execute(f"CREATE TEMP TABLE {name} AS SELECT * FROM {name}")
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
+        """Keep the pieces that were asked for again, half of the room at most; all others must be encoded anew."""
+        order = np.argsort(-self.asked, kind="stable")[: _CACHED // 2]
+        kept = np.zeros(len(self.asked), dtype=bool)
+        kept[order[self.asked[order] > 1]] = True
+        place = np.cumsum(kept) - 1
+        self.known = {word: int(place[i]) for word, i in self.known.items() if kept[i]}
+        self.flat = self.flat[np.repeat(kept, self.lengths)]
+        self.lengths, self.asked = self.lengths[kept], self.asked[kept] // 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.apart: dict[tuple[int, int], bool] = {}
 
     def _pieces_table(self, texts: list[bytes]) -> pa.Table:
         lengths = np.array([len(text) for text in texts])
@@ -152,23 +172,79 @@ class Coder:
             }
         )
 
-    def _contract(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of all texts in order, and how many each has."""
-        pieces = self._pieces_table(texts)
-        self.db.register("pieces", pieces)
-        if max(map(len, texts)) <= _LONG:
-            found = self.db.sql(_RECURSION).to_arrow_table()
-        else:
-            self.db.execute("CREATE OR REPLACE TEMP TABLE long_state AS SELECT word, pos, token FROM pieces")
-            held = -1
-            while held != (held := self.db.execute("SELECT count(*) FROM long_state").fetchall()[0][0]):
-                self.db.execute(_LONG_STEP)
+    def _contract(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Token ids of each text by contraction alone. Texts share queries as far as the recursion's rows allow."""
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
+        groups: list[list[int]] = []
+        held = 0
+        for i in sorted(range(len(texts)), key=lambda i: len(texts[i])):
+            # One row for each token and step, so at most half the square of the length.
+            rows = len(texts[i]) ** 2 // 2
+            if not groups or held + rows > _ROWS:
+                groups.append([])
+                held = 0
+            groups[-1].append(i)
+            held += rows
+        for group in groups:
+            self.db.register("pieces", self._pieces_table([texts[i] for i in group]))
+            if len(texts[group[-1]]) <= _WIDEST:
+                found = self.db.sql(_RECURSION).to_arrow_table()
+            else:
+                self.db.execute("CREATE OR REPLACE TEMP TABLE long_state AS SELECT word, pos, token FROM pieces")
+                held = -1
+                while held != (held := self.db.execute("SELECT count(*) FROM long_state").fetchall()[0][0]):
+                    self.db.execute(_LONG_STEP)
+                    self.db.execute("DROP TABLE long_state")
+                    self.db.execute("ALTER TABLE next_state RENAME TO long_state")
+                found = self.db.sql("SELECT word, token FROM long_state ORDER BY word, pos").to_arrow_table()
                 self.db.execute("DROP TABLE long_state")
-                self.db.execute("ALTER TABLE next_state RENAME TO long_state")
-            found = self.db.sql("SELECT word, token FROM long_state ORDER BY word, pos").to_arrow_table()
-        self.db.unregister("pieces")
-        counts = np.bincount(found["word"].to_numpy(), minlength=len(texts))
-        return found["token"].to_numpy().astype(np.int32), counts
+            self.db.unregister("pieces")
+            ids = found["token"].to_numpy().astype(np.int32)
+            ends = np.cumsum(np.bincount(found["word"].to_numpy(), minlength=len(group)))
+            for i, start, end in zip(group, ends - np.diff(ends, prepend=0), ends, strict=True):
+                out[i] = ids[start:end]
+        return out
+
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+
+    def _hold(self, pairs: list[tuple[int, int]]) -> list[bool]:
+        """Whether the joined bytes of two tokens are encoded as these two."""
+        new = list(dict.fromkeys(pair for pair in pairs if pair not in self.apart))
+        for pair, ids in zip(new, self._contract([self.tokens[a] + self.tokens[b] for a, b in new]), strict=True):
+            self.apart[pair] = ids.tolist() == list(pair)
+        return [self.apart[pair] for pair in pairs]
+
+    def _contract_long(self, text: bytes) -> np.ndarray:
+        """Token ids of a text of any length: chunks, then windows around the seams that do not hold."""
+        parts = self._contract([text[i : i + _CHUNK] for i in range(0, len(text), _CHUNK)])
+        ids = np.concatenate(parts)
+        # Places between two tokens to look at, each with the reach of its window.
+        seams = {int(end): 4 for end in np.cumsum([len(part) for part in parts])[:-1]}
+        while seams:
+            held = self._hold([(int(ids[at - 1]), int(ids[at])) for at in seams])
+            windows: list[list[int]] = []
+            for (at, reach), holds in sorted(zip(seams.items(), held, strict=True)):
+                if holds:
+                    continue
+                low, high = max(0, at - reach), min(len(ids), at + reach)
+                if windows and low <= windows[-1][1]:
+                    low, _, other = windows.pop()
+                    reach = max(reach, other)
+                windows.append([low, high, reach])
+            anew = self._contract([self._bytes(ids[low:high]) for low, high, _ in windows])
+            pieces, seams, done, length = [], {}, 0, 0
+            for (low, high, reach), found in zip(windows, anew, strict=True):
+                pieces += [ids[done:low], found]
+                length += low - done
+                edges = [length] * (low > 0)
+                length += len(found)
+                edges += [length] * (high < len(ids))
+                for edge in edges:
+                    seams[edge] = max(seams.get(edge, 0), 2 * reach)
+                done = high
+            ids = np.concatenate([*pieces, ids[done:]])
+        return ids
 
     def _learn(self, words: Iterable[str]) -> None:
         whole, short, long_ = [], [], []
@@ -177,27 +253,24 @@ class Coder:
             if text in self.ranks:
                 whole.append((word, self.ranks[text]))
             else:
-                (short if len(text) <= _LONG else long_).append((word, text))
-        flats, lengths, names = [np.array([i for _, i in whole], np.int32)], [np.ones(len(whole), np.int64)], [w for w, _ in whole]
-        groups = [short[i : i + _BATCH_NEW] for i in range(0, len(short), _BATCH_NEW)] + [[item] for item in long_]
-        for group in groups:
-            flat, counts = self._contract([text for _, text in group])
-            flats.append(flat)
-            lengths.append(counts)
-            names.extend(word for word, _ in group)
+                (short if len(text) <= _CHUNK else long_).append((word, text))
+        found = self._contract([text for _, text in short]) + [self._contract_long(text) for _, text in long_]
+        names = [word for word, _ in whole + short + long_]
         base = len(self.lengths)
         self.known.update(zip(names, range(base, base + len(names)), strict=True))
-        self.lengths = np.concatenate([self.lengths, *lengths])
-        self.flat = np.concatenate([self.flat, *flats])
+        self.lengths = np.concatenate([self.lengths, np.ones(len(whole), np.int64), np.array([len(x) for x in found], np.int64)])
+        self.asked = np.concatenate([self.asked, np.zeros(len(names), np.int64)])
+        self.flat = np.concatenate([self.flat, np.array([i for _, i in whole], np.int32), *found])
         self.starts = np.cumsum(self.lengths) - self.lengths
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > _CACHED:
+        if len(self.known) > _CACHED or len(self.apart) > _CACHED:
             self._forget()
         new = set(words) - self.known.keys()
         if new:
             self._learn(sorted(new))
         index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.asked += np.bincount(index, minlength=len(self.asked))
         lengths = self.lengths[index]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
@@ -273,16 +346,8 @@ class Coder:
         yield from found
 
 
-_coders: dict[int, Coder] = {}
-
-
-def _coder(vocabulary: Vocabulary) -> Coder:
-    """One coder for each Python worker and vocabulary."""
-    key = hash((vocabulary.pattern, tuple(vocabulary.tokens)))
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = Coder(vocabulary)
-    return _coders[key]
+def _owner(vocabulary: Vocabulary) -> tuple[str, int]:
+    return "byte_bpe", hash((vocabulary.pattern, tuple(vocabulary.tokens)))
 
 
 def _texts(column: pa.Array) -> list[str]:
@@ -296,10 +361,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, check: bool = False) -> Data
 
     Whole texts of any length are encoded. Input columns with these names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared, owner = docs.sparkSession.sparkContext.broadcast(vocabulary), _owner(vocabulary)
 
     def apply(batch: pa.RecordBatch) -> list[pa.Array]:
-        coder, texts = _coder(shared.value), _texts(batch["text"])
+        coder, texts = kept_for(owner, lambda: Coder(shared.value)), _texts(batch["text"])
         ids = coder.encode(texts)
         arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
         if check:
@@ -311,29 +376,29 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, check: bool = False) -> Data
         [T.StructField("tokens", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
         + [T.StructField("whole", T.BooleanType())] * check
     )
-    return with_columns_from_arrow(docs, added, apply)
+    return with_columns_from_arrow(docs, added, apply, owner)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Add ``decoded``, the bytes of ``tokens``; null tokens give no bytes."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    shared, owner = encoded.sparkSession.sparkContext.broadcast(vocabulary), _owner(vocabulary)
 
     def apply(batch: pa.RecordBatch) -> list[pa.Array]:
         rows = [
             np.asarray(row if row is not None else [], np.int32)
             for row in batch["tokens"].to_numpy(zero_copy_only=False)
         ]
-        return [pa.array([b"".join(parts) for parts in _coder(shared.value).decode(rows)], pa.binary())]
+        return [pa.array([b"".join(parts) for parts in kept_for(owner, lambda: Coder(shared.value)).decode(rows)], pa.binary())]
 
-    return with_columns_from_arrow(encoded, T.StructType([T.StructField("decoded", T.BinaryType())]), apply)
+    return with_columns_from_arrow(encoded, T.StructType([T.StructField("decoded", T.BinaryType())]), apply, owner)
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of ``text``, encoded and decoded in one pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared, owner = docs.sparkSession.sparkContext.broadcast(vocabulary), _owner(vocabulary)
 
     def apply(batch: pa.RecordBatch) -> list[pa.Array]:
-        coder = _coder(shared.value)
+        coder = kept_for(owner, lambda: Coder(shared.value))
         ids = coder.encode(_texts(batch["text"]))
         digests, decoded = [], []
         for row in ids:
@@ -352,4 +417,4 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             T.StructField("decoded_sha256", T.StringType()),
         ]
     )
-    return with_columns_from_arrow(docs, added, apply)
+    return with_columns_from_arrow(docs, added, apply, owner)

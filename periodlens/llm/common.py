@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -29,19 +32,49 @@ def sliced(batch: pa.RecordBatch, limit: int = 1 << 23) -> Iterator[pa.RecordBat
         yield batch.slice(at, rows)
 
 
+_kept: dict[Any, Any] = {}
+
+
+def kept_for(owner: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept in this Python worker until a partition of another owner begins."""
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def release(owner: Any = None) -> None:
+    """Give memory of earlier partitions back to the system; what is kept for ``owner`` stays.
+
+    Spark uses its Python workers again for later stages, so what one stage
+    leaves would stand beside what the next one needs.
+    """
+    if owner not in _kept:
+        _kept.clear()
+    _powers.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def with_columns_from_arrow(
-    df: DataFrame, added: T.StructType, function: Callable[[pa.RecordBatch], list[pa.Array]]
+    df: DataFrame, added: T.StructType, function: Callable[[pa.RecordBatch], list[pa.Array]], owner: Any = None
 ) -> DataFrame:
     """Run ``function`` on slices of the Arrow batches and put its arrays beside their columns.
 
-    Columns of ``df`` that bear one of the added names are replaced.
+    Columns of ``df`` that bear one of the added names are replaced. What the
+    function keeps for ``owner`` serves all its partitions in a worker.
     """
     kept = df.drop(*added.names)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(owner)
         for batch in (part for whole in batches for part in sliced(whole)):
             arrays = function(batch)
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *added.names])
+        release(owner)
 
     return kept.mapInArrow(apply, T.StructType([*kept.schema.fields, *added.fields]))
 
