@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodlens.llm.common import chunks_by_size, texts_as_bytes, with_columns_from_arrow
+from periodlens.llm.common import chunks_by_size, mix64, texts_as_bytes, with_columns_from_arrow
 
 DEPTH = 3
 _FOLD = np.full(256, 32, dtype=np.uint8)
@@ -127,10 +127,11 @@ def build_model(
     for length in (3, 2, 1):
         keys, sums = by_length[0]
         by_length.insert(0, _grouped(keys & ((1 << 8 * length) - 1), sums))
-    # The most frequent three-byte contexts keep their four-grams.
+    # The most frequent three-byte contexts keep their four-grams; each language counts by its own shares.
     contexts, total = _grouped(by_length[3][0] >> 8, by_length[3][1])
     if len(contexts) > max_contexts:
-        best = np.sort(contexts[np.argsort(-total.sum(axis=1), kind="stable")[:max_contexts]])
+        share = (total / np.maximum(1, total.sum(axis=0))).max(axis=1)
+        best = np.sort(contexts[np.argsort(-share, kind="stable")[:max_contexts]])
         kept = np.isin(by_length[3][0] >> 8, best)
         by_length[3] = (by_length[3][0][kept], by_length[3][1][kept])
     used = np.unique(by_length[0][0]).astype(np.int64)
@@ -176,31 +177,42 @@ def build_model(
     return LanguageModel(languages, symbols, width, children, bits, leave)
 
 
-def fit(labelled: DataFrame, sample_bytes: int = 4_000_000, max_contexts: int = 65_536) -> LanguageModel:
+def fit(labelled: DataFrame, sample_bytes: int = 4_000_000, max_contexts: int = 65_536, block_bytes: int = 8192) -> LanguageModel:
     """Learn from ``text`` and ``lang`` of the given rows; rows without either are left out.
 
-    The fit reads whole texts, chosen by a hash of the text, of about
-    ``sample_bytes`` for each language, and keeps ``max_contexts`` contexts of
-    three bytes, so neither the counts nor the model grow with the corpus. All
-    counts of the sample are used, also those of bytes seen once.
+    The fit reads blocks of ``block_bytes``, chosen by a hash of their text and
+    place, of about ``sample_bytes`` for each language, and the first block of
+    the text with the lowest hash, so every language with a text is learned.
+    It keeps ``max_contexts`` contexts of three bytes, those with the largest
+    share of a language. Neither the counts nor the model grow with the
+    corpus. All counts of the sample are used, also those of bytes seen once.
+    ``lang`` has one model for each value, so its values should be languages.
     """
-    usable = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = usable.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("held")).collect()
-    languages = sorted(row.lang for row in sizes if row.held)
+    place = F.xxhash64("text")
+    usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang", place.alias("place"))
+    sizes = (
+        usable.where("text <> ''").groupBy("lang").agg(F.sum(F.octet_length("text")).alias("held"), F.min("place").alias("lowest")).collect()
+    )
+    languages = sorted(row.lang for row in sizes)
     if not languages:
         return build_model([], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    scale = 1 << 20
-    shares = F.create_map(
-        *[F.lit(x) for row in sizes for x in (row.lang, int(scale * min(1.0, sample_bytes / max(1, row.held))))]
-    )
-    sample = usable.where(F.pmod(F.xxhash64("text"), F.lit(scale)) < shares[F.col("lang")])
+    shares = {row.lang: min(1.0, sample_bytes / row.held) for row in sizes}
+    lowest = {row.lang: row.lowest for row in sizes}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, langs = texts_as_bytes(batch["text"]), batch["lang"].to_pylist()
-            for lang in sorted(set(langs)):
-                own = [text for text, other in zip(texts, langs, strict=True) if other == lang]
-                for first, last in chunks_by_size(own, 1 << 23):
+            texts, langs, places = texts_as_bytes(batch["text"]), batch["lang"].to_pylist(), batch["place"].to_pylist()
+            chosen: dict[str, list[bytes]] = {}
+            for text, lang, where in zip(texts, langs, places, strict=True):
+                if not text:
+                    continue
+                blocks = np.arange(-(-len(text) // block_bytes), dtype=np.uint64)
+                picked = mix64(blocks + np.uint64(where & 0xFFFFFFFFFFFFFFFF)) <= shares[lang] * float(2**64 - 1)
+                picked[0] |= where == lowest[lang]
+                for at in np.flatnonzero(picked).tolist():
+                    chosen.setdefault(lang, []).append(text[at * block_bytes : (at + 1) * block_bytes])
+            for lang, own in sorted(chosen.items()):
+                for first, last in chunks_by_size(own, 1 << 22):
                     grams, n = np.unique(_four_grams(own[first:last]), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(grams)), pa.array(grams.astype(np.int64)), pa.array(n)],
@@ -208,7 +220,7 @@ def fit(labelled: DataFrame, sample_bytes: int = 4_000_000, max_contexts: int =
                     )
 
     counted = (
-        sample.mapInArrow(count, "lang string, gram long, n long")
+        usable.mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
         .toArrow()
