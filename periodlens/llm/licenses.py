@@ -178,22 +178,44 @@ SPELLINGS = [
     ("v[. ]?(2|3)", "version $1"),
 ]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_COPYRIGHT = r"(^|\n)[^a-z0-9\n]*(copyright[^a-z\n]*([0-9]|[(]c[)]|\x{00a9}|by )|[(]c[)] *[0-9]|\x{00a9})[^\n]*"
+# A copyright statement begins a line and ends with its sentence: at a full stop before a space, but not behind an initial
+# or an abbreviation that goes on with a capital or a comma, nor inside a word; and before "all rights reserved".
+_BEGINS = (
+    r"(^|\n)[^A-Za-z0-9\n]*(?:(?i:copyright)[^A-Za-z\n]*(?:[0-9]|[(][Cc][)]|\x{00a9}|[Bb][Yy] )|[(][Cc][)] *[0-9]|\x{00a9})"
+)
+_RESERVED = "(?i:all rights reserved)"
+_SHORT = "[A-Za-z]|Inc|Ltd|Co|Corp|Jr|Sr|Dr|St|e[.]V"
+_RUN = rf"[^.\n]*?(?=[ ,;]*{_RESERVED}|[.\n]|\z)"
+_GOES_ON = rf"(?:(?<=[^A-Za-z](?:{_SHORT}))[.](?= +(?!{_RESERVED})[A-Z]|,)|[.](?![\s]|\z))"
+_STATEMENT = rf"{_BEGINS}{_RUN}(?:{_GOES_ON}{_RUN})*+[.]?"
+_COPYRIGHT = rf"{_STATEMENT}(?:[ ,;]*{_RESERVED}[.]?)?"
 _ANY_SPELLING = r"\b(" + "|".join(pattern for pattern, _ in SPELLINGS) + r")\b"
 _PUNCTUATION = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f\x{00a9}\x{2013}\x{2014}\x{2018}\x{2019}\x{201c}\x{201d}]+"
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical form with line breaks kept; null for null."""
-    low = F.translate(text, _UPPER, _LOWER)
-    low = F.when(low.rlike(_COPYRIGHT), F.regexp_replace(low, _COPYRIGHT, "$1")).otherwise(low)
-    spelled = low
+def _removed(text: Column, pattern: str) -> Column:
+    return F.when(text.rlike(_BEGINS), F.regexp_replace(text, pattern, "$1")).otherwise(text)
+
+
+def _normal(text: Column) -> Column:
+    low = spelled = F.translate(text, _UPPER, _LOWER)
     for pattern, replacement in SPELLINGS:
         spelled = F.regexp_replace(spelled, rf"\b{pattern}\b", replacement)
     low = F.when(low.rlike(_ANY_SPELLING), spelled).otherwise(low)
     return F.regexp_replace(low, _PUNCTUATION, " ")
 
 
+def canonical_lines(text: Column) -> Column:
+    """The canonical form with line breaks kept; null for null. Copyright statements go, and what reserves all rights
+    right behind one; the rest of their lines stays."""
+    return _normal(_removed(text, _COPYRIGHT))
+
+
+def notice_lines(text: Column) -> Column:
+    """As ``canonical_lines``, but only the statements themselves go."""
+    return _normal(_removed(text, _STATEMENT))
+
+
 def _one_line(lines: Column) -> Column:
     return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
 
@@ -224,8 +246,11 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] = KNOWN_TEXTS) -> DataFra
     possible = F.filter(trimmed, lambda line: F.length(line).isin(sizes))
     found = F.transform(possible, lambda line: names[F.sha2(line, 256)])
     return (
-        kept.withColumn("_canonical", canonical_lines(F.col("text")))
-        .withColumn("digest", F.sha2(_one_line(lines), 256))
+        kept.withColumn("_canonical", notice_lines(F.col("text")))
+        .withColumn(
+            "digest",
+            F.sha2(_one_line(F.when(F.col("text").rlike(_BEGINS), canonical_lines(F.col("text"))).otherwise(lines)), 256),
+        )
         .withColumn("notices", F.array_join(F.array_sort(F.array_distinct(F.array_compact(found))), ","))
         .drop("_canonical")
         .join(F.broadcast(table.select(F.col("digest").alias("_digest"), "license")), F.col("digest") == F.col("_digest"), "left")
@@ -236,8 +261,16 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] = KNOWN_TEXTS) -> DataFra
 def oracle_sql(known: list[tuple[str, str]] = KNOWN_TEXTS) -> str:
     """The registered query in SQL for DuckDB."""
 
-    def canonical(text: str) -> str:
-        low = f"regexp_replace(translate({text}, '{_UPPER}', '{_LOWER}'), '{_COPYRIGHT}', '\\1', 'g')"
+    # Written without looking around: "all rights reserved" is one character while statements are sought.
+    mark = chr(1)
+    goes_on = rf"[^A-Za-z\n](?:(?:{_SHORT})[.] +)+[A-Z]|[^A-Za-z\n](?:{_SHORT})[.],|[.][^\s{mark}.]"
+    statement = rf"{_BEGINS}(?:{goes_on}|[^.\n{mark}])*[.]?"
+
+    def canonical(text: str, reserved: bool = True) -> str:
+        low = f"regexp_replace({text}, '(?i)all rights reserved', '{mark}', 'g')"
+        low = f"regexp_replace({low}, '{statement}{f'(?:[ ,;]*{mark}[.]?)?' if reserved else ''}', '\\1', 'g')"
+        low = f"replace({low}, '{mark}', 'all rights reserved')"
+        low = f"translate({low}, '{_UPPER}', '{_LOWER}')"
         for pattern, replacement in SPELLINGS:
             low = f"regexp_replace({low}, '\\b{pattern}\\b', '{replacement.replace('$', chr(92))}', 'g')"
         return f"regexp_replace({low}, '{_PUNCTUATION}', ' ', 'g')"
@@ -251,10 +284,11 @@ WITH known AS (
   SELECT any_value(license) AS license, digest FROM (
     SELECT license, sha256({one_line(canonical('text'))}) AS digest FROM (VALUES {values}) AS k(license, text))
   GROUP BY digest),
-texts AS (SELECT row_number() OVER () AS row_no, doc_id, {canonical('text')} AS lines FROM documents),
+texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id, {canonical('text')} AS lines, {canonical('text', False)} AS noticed FROM documents),
 notices AS (
   SELECT row_no, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
-  FROM (SELECT row_no, sha256(trim(unnest(string_split(lines, chr(10))), ' ')) AS digest FROM texts) JOIN known USING (digest)
+  FROM (SELECT row_no, sha256(trim(unnest(string_split(noticed, chr(10))), ' ')) AS digest FROM texts) JOIN known USING (digest)
   GROUP BY row_no)
 SELECT doc_id, t.digest, k.license,
        CASE WHEN t.lines IS NOT NULL THEN coalesce(n.notices, '') END AS notices

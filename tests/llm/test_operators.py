@@ -518,3 +518,108 @@ def test_query_equals_sql(spark, name):
     for got, wanted in zip(rows, sorted(result.fetchall(), key=key), strict=True):
         for x, y in zip(got, wanted, strict=True):
             assert x == y or isinstance(x, float) and math.isclose(x, y, rel_tol=1e-12)
+
+
+# --- cases that lost text -------------------------------------------------------------------------------------------
+
+
+def test_copyright_statements_end_with_their_sentence(spark):
+    mit = dict(licenses.KNOWN_TEXTS)["MIT"]
+    texts = [
+        "Copyright (c) 2020 Jane Doe. All rights reserved.",
+        "Copyright 2020 A. anything one",
+        "Copyright 2021 B. something else",
+        "Copyright 2021 J. R. Doe and Foo Inc., Bar Ltd. All rights reserved.",
+        f"Copyright (c) 2020 J. Doe\n{mit}",
+        f"Copyright (c) 2020-2021, Example.com Inc. All rights reserved.\n{mit}",
+        f"Copyright (c) 2020 Jane Doe. {mit}",
+        f"Copyright (c) 2020 Jane Doe, all rights reserved\n{mit}",
+        "copyright 2020 x. " + "word. " * 50_000,
+        "(c) 2019 me\nanything one",
+        None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert found[0].notices == "proprietary" and found[0].digest == empty
+    assert found[1].digest == hashlib.sha256(b"anything one").hexdigest() == found[9].digest
+    assert found[2].digest == hashlib.sha256(b"something else").hexdigest()
+    assert found[3].digest == empty and found[3].notices == "proprietary"
+    assert [found[i].license for i in (4, 5, 6, 7)] == ["MIT"] * 4
+    assert found[8].digest == hashlib.sha256(("word " * 50_000).strip().encode()).hexdigest()
+    connection = duckdb.connect()
+    documents = docs.toPandas()  # noqa: F841
+    rows = connection.execute(licenses.oracle_sql()).fetchall()
+    assert {r[0]: r[1:] for r in rows} == {i: (r.digest, r.license, r.notices) for i, r in found.items()}
+
+
+def test_a_language_of_few_long_texts_is_learned(spark):
+    random.seed(5)
+    english = [" ".join(random.choices("the of and house water strong thing with about".split(), k=350_000)) for _ in range(3)]
+    spanish = ["la casa de los perros y el agua fuerte " * 20] * 50
+    rows = [(text, "en") for text in english] + [(text, "es") for text in spanish] + [("", "xx"), (None, "en")]
+    table = spark.createDataFrame(rows, "text string, lang string")
+    for sample in (200_000, 1):
+        model = language_id.fit(table, sample_bytes=sample)
+        assert model.languages == ["en", "es"]
+        tests = spark.createDataFrame([("the strong house about water",), ("los perros y la casa",)], "text string")
+        found = language_id.identify(tests, model)
+        assert [r.lang_pred for r in found.collect()] == ["en", "es"]
+        assert found.where(language_id.accepted()).count() == 2
+
+
+def test_vectors_of_any_size_are_linked(spark):
+    rows = []
+    for i, size in enumerate((1e200, 1e-200, 1e-320, 1.7e308)):
+        rows += [(2 * i, [size, size / 2], i), (2 * i + 1, [size, size / 2], i), (100 + i, [size, -size], i)]
+    rows += [(200, [0.0, -0.0], 0), (201, [0.0, 0.0], 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(table).collect()}
+    assert [found[i].n_links for i in range(8)] == [1] * 8 and found[3].component_id == 2
+    assert all(found[i].n_links == 0 for i in (100, 101, 102, 103, 200, 201))
+
+
+def test_long_pieces_are_encoded_in_linear_time():
+    import time
+
+    import public_tokenizers
+    import tiktoken
+
+    vocabulary = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ranks = {token: rank for rank, token in enumerate(vocabulary.tokens)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coder = byte_bpe.Coder(vocabulary)
+    random.seed(8)
+    alphabets = ["ab", "aeinrst", "abcdefghijklmnopqrstuvwxyz", "éèàab", "ACGT"]
+    texts = ["".join(random.choices(a, k=n)) for a in alphabets for n in (65, 130, 700, 3000)]
+    texts += [(random.choice(alphabets)[: random.randint(1, 4)] * 3000)[:2000] for _ in range(10)] + ["a" * 100_000, "abab" * 5000 + "b"]
+    texts += ["".join(random.choice(a) * random.randint(1, 70) for _ in range(40)) for a in alphabets]
+    for text, ids in zip(texts, coder.encode(texts), strict=True):
+        assert ids.tolist() == library.encode_ordinary(text)
+    long_ = "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    began = time.perf_counter()
+    ids = coder.encode([long_])[0]
+    assert time.perf_counter() - began < 60 and ids.tolist() == library.encode_ordinary(long_)
+
+
+def test_pieces_may_be_forgotten(monkeypatch):
+    import public_tokenizers
+
+    vocabulary = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    random.seed(9)
+    texts = [" ".join("".join(random.choices("abcdefgh", k=random.randint(3, 12))) for _ in range(80)) for _ in range(60)]
+    whole = [ids.tolist() for ids in byte_bpe.Coder(vocabulary).encode(texts)]
+    monkeypatch.setattr(byte_bpe, "_CACHED", 200)
+    monkeypatch.setattr(byte_bpe, "_BATCH_WORDS", 100)
+    small = byte_bpe.Coder(vocabulary)
+    assert [ids.tolist() for ids in small.encode(texts + texts[::-1])] == whole + whole[::-1]
+    assert len(small.known) < 1000
+
+
+def test_kept_state_goes_when_another_owner_begins():
+    first = common.kept_for("a", lambda: [1])
+    common.release("a")
+    assert common.kept_for("a", lambda: [2]) is first
+    common.release("b")
+    assert common.kept_for("a", lambda: [3]) == [3]
+    common.release()
