@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodlens.llm.common import chunks_by_size, mix64, texts_as_bytes, with_columns_from_arrow
+from periodlens.llm.common import chunks_by_size, mix64, texts_as_bytes, tidy, with_columns_from_arrow
 
 DEPTH = 3
 _FOLD = np.full(256, 32, dtype=np.uint8)
@@ -220,7 +220,7 @@ def fit(labelled: DataFrame, sample_bytes: int = 4_000_000, max_contexts: int =
                     )
 
     counted = (
-        usable.mapInArrow(count, "lang string, gram long, n long")
+        usable.mapInArrow(tidy(count), "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
         .toArrow()

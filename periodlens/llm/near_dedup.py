@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodlens.llm.common import hash_words, mix64, sliced, texts_as_bytes, with_columns_from_arrow
+from periodlens.llm.common import hash_words, mix64, sliced, texts_as_bytes, tidy, with_columns_from_arrow
 from periodlens.llm.components import connected_components
 from periodlens.session import pin
 
@@ -214,7 +214,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             )
 
     placed = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << _FILTER_BITS)).alias("_place"))
-    return pin(placed.mapInArrow(expand, "set_key binary, shingles binary"), "sets")
+    return pin(placed.mapInArrow(tidy(expand), "set_key binary, shingles binary"), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -239,7 +239,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("_left"))
     right = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("_right"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "_left", "_right")
-    return both.mapInArrow(compare, "a binary, b binary")
+    return both.mapInArrow(tidy(compare), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, slack: float = 4.0) -> DataFrame:
@@ -436,7 +436,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int, slack: float) ->
     right = classes.select(F.col("set_key").alias("b"), F.col("bands").alias("_y"), F.col("n_shingles").alias("_m"))
     sized = 100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m")
     both = pairs.join(left, "a").join(right, "b").where(sized).select("a", "b", "_x", "_y", "_n", "_m")
-    return both.mapInArrow(estimate, "a binary, b binary")
+    return both.mapInArrow(tidy(estimate), "a binary, b binary")
 
 
 def keep_one(docs: DataFrame, **options: object) -> DataFrame:

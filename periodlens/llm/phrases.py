@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from periodlens.llm.common import chunks_by_size, hash_spans, mix64, texts_as_bytes
+from periodlens.llm.common import chunks_by_size, hash_spans, mix64, texts_as_bytes, tidy
 from periodlens.session import drop_scratch, pin, scratch_path
 
 LONGEST = 4
@@ -162,7 +162,7 @@ def _scan(shard: DataFrame, table, step: int, shards: int) -> DataFrame:
                         )
                     shorter = whole
 
-    return shard.select("lang", "text").mapInArrow(count, "hash long, size byte, n long")
+    return shard.select("lang", "text").mapInArrow(tidy(count), "hash long, size byte, n long")
 
 
 def _set_slots(counted: DataFrame, bits: int) -> np.ndarray:
@@ -264,7 +264,7 @@ def _count_exactly(dealt: DataFrame, frequent) -> DataFrame:
                     ]
                     yield _rows(names, keys[first] % len(names), size, shown, n)
 
-    return dealt.select("lang", "text").mapInArrow(count, "lang string, size int, phrase string, n long")
+    return dealt.select("lang", "text").mapInArrow(tidy(count), "lang string, size int, phrase string, n long")
 
 
 def _rows(names: list[str], lang: np.ndarray, size: int, shown: list[str], n: np.ndarray) -> pa.RecordBatch:

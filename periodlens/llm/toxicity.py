@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodlens.llm.common import with_columns_from_arrow
+from periodlens.llm.common import tidy, with_columns_from_arrow
 from periodlens.session import pin
 
 OTHER, END, INSULT, THREAT, TARGET, NEGATION, REPORT = range(7)
@@ -236,7 +236,7 @@ def fit(
                 [pa.array(list(rows), pa.list_(pa.float64())), batch["toxic"].cast(pa.float64())], ["x", "y"]
             )
 
-    rows = sample.mapInArrow(features, "x array<double>, y double").collect()
+    rows = sample.mapInArrow(tidy(features), "x array<double>, y double").collect()
     y = np.array([row.y for row in rows])
     if len(rows) and 0 < y.sum() < len(y):
         grammar.weights, grammar.bias = _logistic(np.array([row.x for row in rows]), y)
