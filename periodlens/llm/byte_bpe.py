@@ -41,8 +41,8 @@ _WIDEST = 512
 _ROWS = 3_000_000
 _CACHED = 300_000
 _BATCH_WORDS = 100_000
-_MEMORY = "512MB"
-_DECODE_ROWS = 1_000_000
+_MEMORY = "256MB"
+_DECODE_ROWS = 250_000
 
 _RECURSION = """
 WITH RECURSIVE state(word, pos, token, right_pos, step) AS (
