@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,10 +14,13 @@ from periodlens.functions import text
 from periodlens.functions.numbers import age_hours, guarded_ratio
 from periodlens.functions.period import next_period_key, period_of_date, period_quarter, period_year
 from periodlens.operators import checks, metrics, ordering, panel, scoring
+from periodlens.operators.merge import absent_rows, upsert
 from periodlens.plans import backtest, reports, staging, warehouse
 from periodlens.session import pin, scratch_path
 from periodlens.sources import star_tables
-from periodlens.sources.delimited import read_delimited
+from periodlens.sources.delimited import TOO_MANY_FIELDS, UNBALANCED_QUOTES, read_delimited
+from periodlens.sources.tables import append_version, read_version, replace_run, upsert_version
+from periodlens.sources.tables import run_changes as compare_runs
 
 YEARS = (1999, 2000, 2001)
 AS_OF = dt.datetime(2002, 1, 1)
@@ -528,12 +531,20 @@ def staging_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def staging_faults(spark: SparkSession, folder: str) -> DataFrame:
-    """Mines made from parts, some with a broken line, too many fields, or a latitude that is no number or too large."""
+    """Mines made from parts, some with line breaks inside quotes, too many fields, or a latitude that is no number or too
+    large; also the line breaks that accepted names kept."""
     key = F.col("p_partkey").cast("string")
     fault = F.col("p_partkey") % 10
     line = F.concat_ws("|", key, F.lit("Deep"), F.lit("AL"), F.lit("1.5"))
     lines = (
-        F.when(fault == 1, F.array(F.concat(key, F.lit('|"Deep')), F.lit('Hollow"|AL|1.5')))
+        F.when(
+            fault == 1,
+            F.concat(
+                F.array(F.concat(key, F.lit('|"Deep'))),
+                F.array_repeat(F.lit('Run|""Creek""'), (F.col("p_partkey") / 10).cast("int") % 4),
+                F.array(F.lit('Hollow"|AL|1.5')),
+            ),
+        )
         .when(fault == 2, F.array(F.concat(line, F.lit("|more"))))
         .when(fault == 3, F.array(F.concat_ws("|", key, F.lit("Deep"), F.lit("AL"), F.lit("99999"))))
         .when(fault == 4, F.array(F.concat_ws("|", key, F.lit("Deep"), F.lit("AL"), F.lit("north"))))
@@ -545,10 +556,85 @@ def staging_faults(spark: SparkSession, folder: str) -> DataFrame:
     staged = staging.stage_rows(
         read_delimited(spark, target), staging.MINES, "run", "faults.txt", AS_OF, on_too_many_fields="quarantine"
     )
-    reasons = staged.rejected.select("reject_reason").unionByName(
-        staged.accepted.select(F.lit("accepted").alias("reject_reason"))
+    breaks = F.regexp_count("mine_name", F.lit("\n")).cast("long")
+    reasons = staged.rejected.select("reject_reason", F.lit(0).cast("long").alias("breaks")).unionByName(
+        staged.accepted.select(F.lit("accepted").alias("reject_reason"), breaks.alias("breaks"))
+    )
+    counted = reasons.groupBy("reject_reason").agg(F.count("*").alias("row_count"), F.sum("breaks").alias("line_breaks"))
+    return _plain(counted)
+
+
+def _made_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two staged runs of mines: the second lacks every seventh part, renames every fifth and has every eleventh anew."""
+    part = spark.read.parquet(f"{folder}/part.parquet")
+    key, second = F.col("p_partkey"), F.col("run_id") == "2"
+    there = F.when(second, key % 7 != 0).otherwise(key % 11 != 0)
+    name = F.when(second & (key % 5 == 0), F.upper("p_name")).otherwise(F.col("p_name"))
+    rows = part.withColumn("run_id", F.explode(F.array(F.lit("1"), F.lit("2")))).where(there)
+    raw = rows.select("run_id", key.cast("string").alias("mine_id"), name.alias("mine_name"), F.col("p_brand").alias("state"))
+    staged = [
+        staging.type_rows(
+            raw.where(F.col("run_id") == run).select(
+                "mine_id", "mine_name", "state", *_no_file_position()
+            ),
+            staging.MINES, run, "mines.txt", AS_OF,
+        )
+        for run in ("1", "2")
+    ]
+    return staged[0].unionByName(staged[1])
+
+
+def _no_file_position() -> list[Column]:
+    return [
+        F.lit(False).alias(TOO_MANY_FIELDS),
+        F.lit(False).alias(UNBALANCED_QUOTES),
+        F.lit("").alias("_file_path"),
+        F.lit(0).cast("long").alias("_block_start"),
+        F.lit(0).cast("long").alias("_line_order"),
+    ]
+
+
+def run_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that a run added, changed, removed or left, by their stored fingerprints."""
+    path = scratch_path(spark, "runs")
+    replace_run(_made_runs(spark, folder), path)
+    return _plain(compare_runs(spark.read.parquet(path), "1", "2"))
+
+
+def bucket_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored balances of customers after an upsert of some nations' customers into a bucketed table."""
+    customer = spark.read.parquet(f"{folder}/customer.parquet").select("c_custkey", "c_nationkey", "c_acctbal")
+    root, schema = scratch_path(spark, "balances"), "c_custkey bigint, c_nationkey int, balance decimal(12,2)"
+
+    def rows(chosen: Column, factor: int) -> DataFrame:
+        balance = (F.col("c_acctbal").cast("decimal(12,2)") * factor).cast("decimal(12,2)").alias("balance")
+        made = customer.where(chosen).select(F.col("c_custkey").cast("long"), F.col("c_nationkey").cast("int"), balance)
+        return pin(made, "balances")
+
+    def merge(old: DataFrame, new: DataFrame, _: int) -> DataFrame:
+        return upsert(old, new, ["c_custkey"])
+
+    for chosen, factor in ((F.col("c_custkey") % 3 != 0, 1), (F.col("c_custkey") % 2 == 0, 2)):
+        upsert_version(rows(chosen, factor), root, ["c_custkey"], merge, schema, buckets=16)
+    stored = read_version(spark, root)
+    return stored.select("c_custkey", F.col("c_nationkey").cast("long").alias("c_nationkey"), F.col("balance").cast("double").alias("balance"))
+
+
+def appended_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by status in a table loaded in three overlapping parts: rows of known keys are not written again."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    root, loaded = scratch_path(spark, "orders"), []
+    for low, high in ((0, 5), (3, 8), (3, 8)):
+        rows = orders.where(F.col("o_orderkey") % 10 >= low).where(F.col("o_orderkey") % 10 < high)
+        known = read_version(spark, root) if loaded else rows.limit(0)
+        loaded.append(append_version(absent_rows(known, rows, ["o_orderkey"]), root))
+    stored = read_version(spark, root)
+    return stored.groupBy("o_orderstatus").agg(
+        F.count("*").alias("row_count"),
+        F.lit(loaded[1]).cast("long").alias("second_load"),
+        F.lit(loaded[2]).cast("long").alias("third_load"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
     )
-    return _plain(reasons.groupBy("reject_reason").agg(F.count("*").alias("row_count")))
 
 
 def queries() -> dict[str, Query]:
@@ -607,4 +693,7 @@ def queries() -> dict[str, Query]:
         "staging_statistics": staging_statistics,
         "staging_rejects": staging_rejects,
         "staging_faults": staging_faults,
+        "run_changes": run_changes,
+        "bucket_upsert": bucket_upsert,
+        "appended_parts": appended_parts,
     }

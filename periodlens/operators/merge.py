@@ -48,9 +48,25 @@ def _highest_key(target: DataFrame, key: str) -> int:
     return target.agg(F.max(key)).first()[0] or 0
 
 
-def _number_new_rows(target: DataFrame, new: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def _number_new_rows(new: DataFrame, key: str, order: Sequence[str], highest: int) -> DataFrame:
     numbered = rank_rows(new, [], list(order), "_number")
-    return numbered.withColumn(key, F.lit(_highest_key(target, key)) + F.col("_number")).drop("_number")
+    return numbered.withColumn(key, F.lit(highest) + F.col("_number")).drop("_number")
+
+
+def absent_rows(
+    target: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    surrogate: str | None = None,
+    order: Sequence[str | Column] | None = None,
+) -> DataFrame:
+    """Rows of ``incoming`` whose key the target lacks, the first of each key, with the target's columns."""
+    # Files are resent whole, so most rows are known: they go before the others are reduced, on the same exchange.
+    unknown = incoming.join(target.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+    new = first_per_key(unknown, keys, order or [c for c in incoming.columns if c not in keys])
+    if surrogate:
+        new = _number_new_rows(new, surrogate, keys, _highest_key(target, surrogate))
+    return new.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
 
 
 def insert_if_absent(
@@ -64,12 +80,7 @@ def insert_if_absent(
 
     Rows present in the target are never changed.
     """
-    # Files are resent whole, so most rows are known: they go before the others are reduced, on the same exchange.
-    unknown = incoming.join(target.select(*keys), list(keys), "left_anti").select(*incoming.columns)
-    new = first_per_key(unknown, keys, order or [c for c in incoming.columns if c not in keys])
-    if surrogate:
-        new = _number_new_rows(target, new, surrogate, keys)
-    return target.unionByName(new)
+    return target.unionByName(absent_rows(target, incoming, keys, surrogate, order))
 
 
 def upsert(
@@ -79,6 +90,7 @@ def upsert(
     on_insert: Mapping[str, Column] | None = None,
     on_update: Mapping[str, Column] | None = None,
     surrogate: str | None = None,
+    highest: int | None = None,
 ) -> DataFrame:
     """Overwrite rows of known keys, append the rest.
 
@@ -115,4 +127,5 @@ def upsert(
     # New rows are numbered after the others, so the join is written once and read twice.
     rows = pin(joined.select(*merged, is_known.alias("_is_known")), "upsert")
     known, new = (rows.where(side).drop("_is_known") for side in ("_is_known", "NOT _is_known"))
-    return known.unionByName(_number_new_rows(target, new.drop(surrogate), surrogate, keys))
+    highest = _highest_key(target, surrogate) if highest is None else highest
+    return known.unionByName(_number_new_rows(new.drop(surrogate), surrogate, keys, highest))

@@ -422,7 +422,7 @@ def stage_rows(
         if first:
             raise ValueError(
                 f"{dataset.name}: {first[0]['reject_reason']} in {first[0]['_file_path']}; "
-                "files with line breaks inside quotes need multi_line=True, and should come in several parts"
+                "a quote is not closed, or its line holds more fields than the header"
             )
     accepted = rows.where(F.col("reject_reason").isNull()).drop("reject_reason")
     if dataset.keep_first:
@@ -458,7 +458,6 @@ def load_run(
     ingested_at: dt.datetime,
     delimiter: str = "|",
     encoding: str = "ISO-8859-1",
-    multi_line: bool = False,
     on_too_many_fields: str = "fail",
     datasets: tuple[Dataset, ...] = DATASETS,
 ) -> list[dict]:
@@ -477,7 +476,7 @@ def load_run(
             continue
         file_name, started = file_names[dataset.name], time.monotonic()
         try:
-            raw = read_delimited(spark, f"{run_folder}/{file_name}", delimiter, encoding, multi_line)
+            raw = read_delimited(spark, f"{run_folder}/{file_name}", delimiter, encoding)
             staged = stage_rows(
                 raw, dataset, run_id, file_name, ingested_at, on_too_many_fields=on_too_many_fields
             )

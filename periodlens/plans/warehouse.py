@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodlens.operators.checks import require_constraints
-from periodlens.operators.merge import insert_if_absent, upsert
-from periodlens.sources.tables import latest_run, read_version, write_version
+from periodlens.operators.merge import absent_rows, insert_if_absent, upsert
+from periodlens.sources.tables import append_version, latest_run, read_version, upsert_version
 
 # Constants of the dimension.
 SOURCE_SYSTEM = "MSHA"
@@ -69,6 +69,11 @@ TABLES = {
 }
 
 
+MINE_KEYS = ["mine_id", "source_system"]
+SCORE_KEYS = ["mine_key", "period_key", "model_version"]
+BACKTEST_KEYS = ["model_version", "validation_year"]
+
+
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[name])
 
@@ -77,9 +82,8 @@ def _stamp(moment: dt.datetime) -> Column:
     return F.lit(moment).cast("timestamp")
 
 
-def load_mines(target: DataFrame, staged: DataFrame, now: dt.datetime) -> DataFrame:
-    """Update known mines, NULLs included, and append new ones."""
-    incoming = staged.where(F.col("mine_id").isNotNull()).select(
+def mine_rows(staged: DataFrame) -> DataFrame:
+    return staged.where(F.col("mine_id").isNotNull()).select(
         "mine_id",
         F.lit(SOURCE_SYSTEM).alias("source_system"),
         "mine_name",
@@ -91,13 +95,18 @@ def load_mines(target: DataFrame, staged: DataFrame, now: dt.datetime) -> DataFr
         "longitude",
         F.lit(True).alias("active_flag"),
     )
+
+
+def load_mines(target: DataFrame, staged: DataFrame, now: dt.datetime, highest: int | None = None) -> DataFrame:
+    """Update known mines, NULLs included, and append new ones."""
     return upsert(
         target,
-        incoming,
-        ["mine_id", "source_system"],
+        mine_rows(staged),
+        MINE_KEYS,
         on_insert={"created_at": _stamp(now), "updated_at": _stamp(now)},
         on_update={"updated_at": _stamp(now)},
         surrogate="mine_key",
+        highest=highest,
     )
 
 
@@ -166,45 +175,56 @@ def assessed_rows(staged: DataFrame, mines: DataFrame, now: dt.datetime) -> Data
     )
 
 
+#: Key and surrogate of each table whose rows are only ever added. The employment id covers the measures, so a revised
+#: row is added beside the old one.
+ADDED_TABLES = {
+    "employment": (["mine_key", "year", "quarter", "source_record_id"], "ep_key"),
+    "incident": (["source_record_id"], "incident_key"),
+    "violation": (["source_record_id"], "violation_key"),
+    "assessed_violation": (["source_record_id"], "assessed_violation_key"),
+}
+
+
 def load_employment(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """The id covers the measures, so a revised row is added beside the old one."""
-    return insert_if_absent(target, rows, ["mine_key", "year", "quarter", "source_record_id"], "ep_key")
+    return insert_if_absent(target, rows, *ADDED_TABLES["employment"])
 
 
 def load_incidents(target: DataFrame, rows: DataFrame) -> DataFrame:
-    return insert_if_absent(target, rows, ["source_record_id"], "incident_key")
+    return insert_if_absent(target, rows, *ADDED_TABLES["incident"])
 
 
 def load_violations(target: DataFrame, rows: DataFrame) -> DataFrame:
-    return insert_if_absent(target, rows, ["source_record_id"], "violation_key")
+    return insert_if_absent(target, rows, *ADDED_TABLES["violation"])
 
 
 def load_assessed(target: DataFrame, rows: DataFrame) -> DataFrame:
-    return insert_if_absent(target, rows, ["source_record_id"], "assessed_violation_key")
+    return insert_if_absent(target, rows, *ADDED_TABLES["assessed_violation"])
 
 
-def store_scores(target: DataFrame, scores: DataFrame, now: dt.datetime) -> DataFrame:
+def store_scores(target: DataFrame, scores: DataFrame, now: dt.datetime, highest: int | None = None) -> DataFrame:
     """Upsert scores per mine, period and model version."""
     return upsert(
         target,
         scores.drop("prediction_ts"),
-        ["mine_key", "period_key", "model_version"],
+        SCORE_KEYS,
         on_insert={"prediction_ts": _stamp(now)},
         on_update={"prediction_ts": _stamp(now)},
         surrogate="risk_score_key",
+        highest=highest,
     )
 
 
-def store_backtest(target: DataFrame, results: DataFrame, now: dt.datetime) -> DataFrame:
+def store_backtest(target: DataFrame, results: DataFrame, now: dt.datetime, highest: int | None = None) -> DataFrame:
     """Upsert split metrics per model version and validation year."""
     stamp = _stamp(now).cast("timestamp_ntz")
     return upsert(
         target,
         results,
-        ["model_version", "validation_year"],
+        BACKTEST_KEYS,
         on_insert={"created_at": stamp},
         on_update={"created_at": stamp},
         surrogate="backtest_result_key",
+        highest=highest,
     )
 
 
@@ -215,13 +235,44 @@ def _current(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
         return empty_table(spark, name)
 
 
+def save_scores(spark: SparkSession, warehouse: str, scores: DataFrame, now: dt.datetime, buckets: int = 64) -> list[int]:
+    """Upsert scores into the stored table and check its constraints; returns the buckets that were written."""
+    return upsert_version(
+        scores,
+        f"{warehouse}/risk_score",
+        SCORE_KEYS,
+        lambda old, new, highest: store_scores(old, new, now, highest),
+        SCORE_SCHEMA,
+        "risk_score_key",
+        lambda df: require_constraints(df, "risk_score"),
+        buckets,
+    )
+
+
+def save_backtest(spark: SparkSession, warehouse: str, results: DataFrame, now: dt.datetime) -> list[int]:
+    """Upsert split metrics into the stored table, one row for each model version and year, and check its constraints."""
+    return upsert_version(
+        results,
+        f"{warehouse}/backtest_result",
+        BACKTEST_KEYS,
+        lambda old, new, highest: store_backtest(old, new, now, highest),
+        BACKTEST_SCHEMA,
+        "backtest_result_key",
+        lambda df: require_constraints(df, "backtest_result"),
+        1,
+    )
+
+
 def run_warehouse_load(
-    spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str | None = None
+    spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str | None = None, buckets: int = 64
 ) -> dict[str, int]:
     """Load one staged run, the newest by default; returns row counts added or updated.
 
-    A table becomes current only if it keeps its constraints; else the load
-    stops, and that table and the ones after it stay as they were.
+    Mines are kept in buckets, of which only those that the run touches are
+    written anew; the other tables get one more part with the rows they lack,
+    and none if they lack none. New rows count only if they keep the table's
+    constraints; else the load stops, and that table and the ones after it stay
+    as they were.
     """
 
     def staged(table: str) -> DataFrame:
@@ -232,23 +283,28 @@ def run_warehouse_load(
     def of_run(table: str) -> DataFrame:
         return staged(table).where(F.col("run_id") == run)
 
-    mine_rows = of_run("stg_msha_mines")
-    merged_mines = load_mines(_current(spark, warehouse, "mine"), mine_rows, now)
-    write_version(merged_mines, f"{warehouse}/mine", lambda df: require_constraints(df, "mine"))
-    mines = read_version(spark, f"{warehouse}/mine")
-    changed = {"mine": mine_rows.count()}
+    rows = of_run("stg_msha_mines").where(F.col("mine_id").isNotNull()).withColumn("source_system", F.lit(SOURCE_SYSTEM))
+    upsert_version(
+        rows,
+        f"{warehouse}/mine",
+        MINE_KEYS,
+        lambda old, new, highest: load_mines(old, new, now, highest),
+        MINE_SCHEMA,
+        "mine_key",
+        lambda df: require_constraints(df, "mine"),
+        buckets,
+    )
+    mines = _current(spark, warehouse, "mine")
+    changed = {"mine": rows.count()}
     steps = {
-        "employment": ("stg_msha_employment_production", employment_rows, load_employment),
-        "incident": ("stg_msha_incidents", incident_rows, load_incidents),
-        "violation": ("stg_msha_violations", violation_rows, load_violations),
-        "assessed_violation": ("stg_msha_assessed_violations", assessed_rows, load_assessed),
+        "employment": ("stg_msha_employment_production", employment_rows),
+        "incident": ("stg_msha_incidents", incident_rows),
+        "violation": ("stg_msha_violations", violation_rows),
+        "assessed_violation": ("stg_msha_assessed_violations", assessed_rows),
     }
-    for name, (table, to_rows, load) in steps.items():
-        before = _current(spark, warehouse, name)
-        write_version(
-            load(before, to_rows(of_run(table), mines, now)),
-            f"{warehouse}/{name}",
-            lambda df, name=name: require_constraints(df, name, mines),
+    for name, (table, to_rows) in steps.items():
+        new = absent_rows(_current(spark, warehouse, name), to_rows(of_run(table), mines, now), *ADDED_TABLES[name])
+        changed[name] = append_version(
+            new, f"{warehouse}/{name}", lambda df, name=name: require_constraints(df, name, mines)
         )
-        changed[name] = read_version(spark, f"{warehouse}/{name}").count() - before.count()
     return changed

@@ -1,10 +1,13 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from periodlens.operators import merge
+from periodlens.operators.merge import absent_rows, upsert
 from periodlens.plans import warehouse
+from periodlens.sources import tables
 
 DAY_1, DAY_2 = dt.datetime(2020, 1, 1), dt.datetime(2020, 2, 1)
 MINES = (
@@ -105,3 +108,74 @@ def test_upsert_exchanges_each_side_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("hashpartitioning") == 2
     assert merged.groupBy("value").count().orderBy("value").collect() == [(1, 5), (2, 10)]
+
+
+def _files(folders):
+    return {f: (f.stat().st_mtime_ns, f.stat().st_size) for folder in folders for f in Path(folder).glob("*.parquet")}
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    root, keys = str(tmp_path / "scores"), ["k"]
+    schema = "id bigint, k string, v int"
+
+    def merge(old, new, highest):
+        return upsert(old, new, keys, surrogate="id", highest=highest)
+
+    first = spark.createDataFrame([(f"a{i}", i) for i in range(40)], "k string, v int")
+    tables.upsert_version(first, root, keys, merge, schema, "id", buckets=8)
+    before = tables.version_folders(spark, root)
+    second = spark.createDataFrame([("a3", -3), ("new", 7)], "k string, v int")
+    touched = tables.upsert_version(second, root, keys, merge, schema, "id", buckets=99)
+    after = tables.version_folders(spark, root)
+    assert 1 <= len(touched) <= 2 and len(set(before) & set(after)) >= len(before) - len(touched)
+    kept = sorted(set(before) & set(after))
+    assert all(_files(kept).values()) and kept
+    rows = {r.k: (r.id, r.v) for r in tables.read_version(spark, root).collect()}
+    old = {r.k: (r.id, r.v) for r in tables.read_version(spark, root, 1).collect()}
+    assert len(rows) == 41 and rows["a3"] == (old["a3"][0], -3) and rows["new"] == (41, 7)
+    assert {k: v for k, v in rows.items() if k not in ("a3", "new")} == {k: v for k, v in old.items() if k != "a3"}
+    assert tables.upsert_version(second.limit(0), root, keys, merge, schema, "id") == []
+    with pytest.raises(ValueError, match="not bucketed by"):
+        tables.upsert_version(second, root, ["v"], merge, schema)
+    with pytest.raises(ValueError, match="bucketed"):
+        tables.append_version(tables.read_version(spark, root), root)
+
+
+def test_refused_rows_leave_the_table_as_it_was(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1)], "k string, v int")
+
+    def refuse(df):
+        raise ValueError(f"refused {df.count()}")
+
+    assert tables.append_version(rows, root) == 1
+    with pytest.raises(ValueError, match="refused 1"):
+        tables.append_version(rows, root, refuse)
+    with pytest.raises(ValueError, match="refused"):
+        tables.upsert_version(rows, str(tmp_path / "u"), ["k"], lambda old, new, _: old.unionByName(new), "k string, v int", check=refuse)
+    assert len(tables.version_folders(spark, root)) == 1 and not list((tmp_path / "u").glob("version-*"))
+    assert not [p for p in (tmp_path / "t").glob("part-*") if p.name not in tables.version_folders(spark, root)[0]]
+
+
+def test_parts_are_listed_and_whole_versions_still_read(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    tables.write_version(rows, root)
+    more = spark.createDataFrame([("b", 9), ("c", 3)], "k string, v int")
+    new = absent_rows(tables.read_version(spark, root), more, ["k"])
+    assert tables.append_version(new, root) == 1
+    assert sorted(tuple(r) for r in tables.read_version(spark, root).collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    again = absent_rows(tables.read_version(spark, root), more, ["k"])
+    assert tables.append_version(again, root) == 0 and len(tables.version_folders(spark, root)) == 2
+    assert tables.read_version(spark, root, 1).count() == 2
+    empty = str(tmp_path / "e")
+    assert tables.append_version(rows.limit(0), empty) == 0 and tables.read_version(spark, empty).columns == ["k", "v"]
+
+
+def test_changes_between_runs(spark):
+    staged = spark.createDataFrame(
+        [("1", "a", "x"), ("1", "b", "x"), ("1", "c", "x"), ("2", "a", "x"), ("2", "b", "y"), ("2", "d", "x"), ("3", "e", "x")],
+        "run_id string, source_record_id string, row_hash string",
+    )
+    found = {tuple(r) for r in tables.run_changes(staged, "1", "2").collect()}
+    assert found == {("a", "same"), ("b", "changed"), ("c", "removed"), ("d", "added")}
