@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalog.oracle import GIVEN_COEFFICIENTS, GIVEN_INTERCEPT
 from periodlens.functions import text
 from periodlens.functions.numbers import age_hours, guarded_ratio
 from periodlens.functions.period import next_period_key, period_of_date, period_quarter, period_year
@@ -19,13 +20,16 @@ from periodlens.plans import backtest, reports, staging, warehouse
 from periodlens.session import pin, scratch_path
 from periodlens.sources import star_tables
 from periodlens.sources.delimited import TOO_MANY_FIELDS, UNBALANCED_QUOTES, read_delimited
-from periodlens.sources.tables import append_version, read_version, replace_run, upsert_version
+from periodlens.sources.tables import append_version, read_metadata, read_version, replace_run, upsert_version
 from periodlens.sources.tables import run_changes as compare_runs
+from periodlens.sources.tables import write_metadata
 
 YEARS = (1999, 2000, 2001)
 AS_OF = dt.datetime(2002, 1, 1)
 EARLY_RUN = dt.datetime(2001, 3, 1)
 LATE_RUN = dt.datetime(2001, 6, 1)
+# Largest gradient component, by row, of a model that counts as fitted.
+GRADIENT_LIMIT = 1e-4
 # The first run holds what had shipped before this day, the second run all.
 FIRST_RUN_END = "1995-01-20"
 
@@ -286,6 +290,37 @@ def logistic_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.score_logistic(training, YEARS).rows
 
 
+def logistic_given(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores, bands and drivers of stored models: written coefficients, each split's own scaler."""
+    training = pin(panel.training_view(_panel(spark, folder)), "training")
+    scalers = scoring.population_scaler(scoring.impute_zero(training, panel.FEATURES), YEARS, panel.FEATURES)
+    models = {}
+    for year, scaler in scalers.items():
+        path = scratch_path(spark, f"model-{year}")
+        metadata = {
+            "model_version": scoring.model_version("logreg", year, "given"),
+            "feature_columns": list(panel.FEATURES),
+            "scaler_mean": [scaler[f][0] for f in panel.FEATURES],
+            "scaler_scale": [scaler[f][1] for f in panel.FEATURES],
+            "coefficients": [GIVEN_COEFFICIENTS[f] for f in panel.FEATURES],
+            "intercept": GIVEN_INTERCEPT,
+        }
+        write_metadata(spark, metadata, path)
+        models[year] = read_metadata(spark, path)
+    return _rounded(_plain(scoring.score_with_models(training, models)), "risk_score")
+
+
+def logistic_optimality(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the fitted model of each split is where the gradient of the loss vanishes."""
+    training = pin(panel.training_view(_panel(spark, folder)), "training")
+    found = scoring.logistic_gradients(training, scoring.score_logistic(training, YEARS))
+    return _plain(
+        found.select(
+            "year", "n_train_rows", "n_train_positives", (F.col("largest_gradient") < GRADIENT_LIMIT).alias("optimal")
+        )
+    )
+
+
 def score_ranks(spark: SparkSession, folder: str) -> DataFrame:
     stored = _stored_scores(spark, folder).withColumn("year", period_year(F.col("period_key")))
     ranked = metrics.rank_scores(stored)
@@ -326,6 +361,30 @@ def backtest_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(view, *summed)
 
 
+def backtest_store(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored results after two runs; the second measures the first one's last year again."""
+    training = pin(panel.training_view(_panel(spark, folder)), "training")
+    home = scratch_path(spark, "warehouse")
+    for run_id, years, now in (("early", YEARS[:2], EARLY_RUN), ("late", YEARS[1:], LATE_RUN)):
+        backtest.run_backtest(training, years, ["rule_score"], run_id, store=home, now=now)
+    return _plain(warehouse.current_table(spark, home, "backtest_result"))
+
+
+def quality_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality results after a panel job and a backtest over the stored tables."""
+    facts = star_tables.load_facts(spark, folder)
+    home = scratch_path(spark, "warehouse")
+    for name, rows in (
+        ("employment", facts.employment),
+        ("incident", facts.incidents),
+        ("violation", facts.violations),
+    ):
+        append_version(rows, f"{home}/{name}")
+    whole = warehouse.run_panel(spark, home, EARLY_RUN)
+    backtest.run_backtest(panel.training_view(whole), YEARS, ["rule_score"], "late", store=home, now=LATE_RUN)
+    return _plain(warehouse.current_table(spark, home, "quality_result"))
+
+
 def rolling_backtest(spark: SparkSession, folder: str) -> DataFrame:
     """Both models over all years, splits measured together."""
     training = pin(panel.training_view(_panel(spark, folder)), "training")
@@ -670,12 +729,16 @@ def queries() -> dict[str, Query]:
         "rule_drivers": rule_drivers,
         "score_upsert": score_upsert,
         "logistic_scores": logistic_scores,
+        "logistic_given": logistic_given,
+        "logistic_optimality": logistic_optimality,
         "score_ranks": score_ranks,
         "topk_metrics": topk_metrics,
         "roc_auc": roc_auc,
         "avg_precision": avg_precision,
         "backtest_summary": backtest_summary,
         "rolling_backtest": rolling_backtest,
+        "backtest_store": backtest_store,
+        "quality_store": quality_store,
         "kpi_summary": kpi_summary,
         "kpi_latest": kpi_latest,
         "kpi_listing": kpi_listing,

@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from periodlens.functions.period import PERIOD_PATTERN
@@ -150,15 +150,19 @@ def backtest_checks(scored: DataFrame, validation_years: Sequence[int]) -> DataF
     )
 
 
-def raise_on_failures(checks: DataFrame, what: str) -> dict[str, int]:
-    """Raise naming every failed check; return the statistics."""
-    counts = checks.collect()
+def raise_on_counts(counts: Sequence[Row], what: str) -> dict[str, int]:
+    """Raise naming every failed check of collected check rows; return the statistics."""
     failures = {r.test_name: r.failure_count for r in counts if not r.is_statistic and r.failure_count != 0}
     if failures:
         raise ValueError(f"{what}: {failures}")
     return {r.test_name: r.failure_count for r in counts if r.is_statistic}
 
 
+def raise_on_failures(checks: DataFrame, what: str) -> dict[str, int]:
+    """Raise naming every failed check; return the statistics."""
+    return raise_on_counts(checks.collect(), what)
+
+
 def quality_results(checks: DataFrame, run_id: str, entity_name: str, checked_at: dt.datetime) -> DataFrame:
     """Check rows in the shape of the stored data-quality results."""
     failed = F.col("failure_count") != 0

@@ -350,35 +350,106 @@ def score_logistic(
     require_usable(splits)
     imputed = impute_zero(training, features)
     scalers = population_scaler(imputed, years, features)
-    values, fitted, models = {}, {}, {}
+    fitted, models = {}, {}
     for year in years:
         scaler = scalers[year]
         model = fit_logistic(imputed.where(F.col("year") < year), scaler, splits[year], c, max_iter)
-        coefficients = dict(zip(features, model.coefficients.toArray().tolist()))
         models[year] = model
-        values[year] = {
-            **{f"_mean_{f}": mean for f, (mean, _) in scaler.items()},
-            **{f"_scale_{f}": scale for f, (_, scale) in scaler.items()},
-            **{f"_coefficient_{f}": coefficient for f, coefficient in coefficients.items()},
-            "_intercept": model.intercept,
-        }
         fitted[year] = {
             "scaler_mean": [scaler[f][0] for f in features],
             "scaler_scale": [scaler[f][1] for f in features],
-            "coefficients": list(coefficients.values()),
+            "coefficients": model.coefficients.toArray().tolist(),
             "intercept": float(model.intercept),
         }
-    contributions = {
-        f: (F.col(f) - F.col(f"_mean_{f}")) / F.col(f"_scale_{f}") * F.col(f"_coefficient_{f}") for f in features
-    }
     versions = {year: model_version(name, year, tag) for year in years}
+    rows = _logistic_rows(imputed, fitted, versions, features)
+    return Scored(rows, name, versions, splits, fitted, models)
 
-    def probability(total: Column) -> Column:
-        return 1.0 / (1.0 + F.exp(-(total + F.col("_intercept"))))
 
-    valid = _with_year_values(imputed, values)
-    rows = _score_rows(valid, contributions, probability, LOGISTIC_DRIVERS, True, versions)
-    return Scored(rows, name, versions, splits, fitted, models)
+def _logistic_values(fitted: Mapping[int, Mapping], features: Sequence[str]) -> dict[int, dict[str, float]]:
+    """The numbers of each year's model by the column names that rows are scored with."""
+    prefixes = {"_mean_": "scaler_mean", "_scale_": "scaler_scale", "_coefficient_": "coefficients"}
+    return {
+        year: {
+            **{f"{prefix}{f}": x for prefix, part in prefixes.items() for f, x in zip(features, model[part])},
+            "_intercept": model["intercept"],
+        }
+        for year, model in fitted.items()
+    }
+
+
+def _scaled(feature: str) -> Column:
+    return (F.col(feature) - F.col(f"_mean_{feature}")) / F.col(f"_scale_{feature}")
+
+
+def _probability(total: Column) -> Column:
+    return 1.0 / (1.0 + F.exp(-(total + F.col("_intercept"))))
+
+
+def _logistic_rows(
+    imputed: DataFrame, fitted: Mapping[int, Mapping], versions: Mapping[int, str], features: Sequence[str]
+) -> DataFrame:
+    valid = _with_year_values(imputed, _logistic_values(fitted, features))
+    contributions = {f: _scaled(f) * F.col(f"_coefficient_{f}") for f in features}
+    return _score_rows(valid, contributions, _probability, LOGISTIC_DRIVERS, True, versions)
+
+
+def score_with_models(panel: DataFrame, models: Mapping[int, Mapping]) -> DataFrame:
+    """Score each year with a stored logistic model, without a fit.
+
+    ``models`` holds the metadata of one model per year, as ``model_metadata``
+    makes it. A model whose features differ from the other models', are missing
+    from ``panel`` or do not match its scaler and coefficients is refused.
+    """
+    features = list(next(iter(models.values()))["feature_columns"])
+    for year, model in models.items():
+        if list(model["feature_columns"]) != features:
+            raise ValueError(f"the model of {year} has other features")
+        for part in ("scaler_mean", "scaler_scale", "coefficients"):
+            if len(model[part]) != len(features):
+                raise ValueError(f"{part} of {year} has {len(model[part])} values for {len(features)} features")
+        if 0.0 in model["scaler_scale"]:
+            raise ValueError(f"the scaler of {year} divides by zero")
+    missing = [f for f in features if f not in panel.columns]
+    if missing:
+        raise ValueError(f"features of the model missing from the panel: {missing}")
+    versions = {year: model["model_version"] for year, model in models.items()}
+    return _logistic_rows(impute_zero(panel, features), models, versions, features)
+
+
+def logistic_gradients(
+    training: DataFrame, scored: Scored, features: Sequence[str] = FEATURES, c: float = 1.0
+) -> DataFrame:
+    """Largest absolute component of the loss gradient at each year's fitted model.
+
+    The loss is what ``fit_logistic`` minimises: balanced log loss plus the L2
+    penalty, by row. All years are summed in one pass; a training row is copied
+    to the years after its own before the sums, which are made map-side.
+    """
+    values = {
+        year: {
+            **model,
+            "_positive": split.train_rows / (2.0 * split.train_positives),
+            "_negative": split.train_rows / (2.0 * (split.train_rows - split.train_positives)),
+        }
+        for (year, model), split in zip(_logistic_values(scored.fitted, features).items(), scored.splits.values())
+    }
+    # One row per validation year, listed by the driver.
+    later = F.filter(F.array(*[F.lit(year) for year in values]), lambda year: year > F.col("year"))
+    copies = impute_zero(training, features).select(
+        F.explode(later).alias("year"), F.col(LABEL).cast("double").alias(LABEL), *features
+    )
+    total = reduce(add, [_scaled(f) * F.col(f"_coefficient_{f}") for f in features])
+    weight = F.when(F.col(LABEL) == 1, F.col("_positive")).otherwise(F.col("_negative"))
+    rows = _with_year_values(copies, values).withColumn("_error", weight * (_probability(total) - F.col(LABEL)))
+    parts = {f: F.avg(F.col("_error") * _scaled(f)) for f in features}
+    penalty = {f: F.max(f"_coefficient_{f}") / (c * F.count("*")) for f in features}
+    components = [F.abs(parts[f] + penalty[f]) for f in features] + [F.abs(F.avg("_error"))]
+    return rows.groupBy("year").agg(
+        F.count("*").alias("n_train_rows"),
+        F.count_if(F.col(LABEL) == 1).alias("n_train_positives"),
+        F.greatest(*components).alias("largest_gradient"),
+    )
 
 
 def stored_scores(scored: DataFrame, predicted_at: dt.datetime) -> DataFrame:

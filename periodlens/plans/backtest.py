@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from periodlens.operators import checks, metrics, scoring
-from periodlens.plans import reports
+from periodlens.plans import reports, warehouse
 from periodlens.session import pin
-from periodlens.sources.tables import write_claims, write_csv, write_metadata
+from periodlens.sources.tables import read_metadata, write_claims, write_csv, write_metadata
 
 Scorer = Callable[[DataFrame, Sequence[int]], scoring.Scored]
 
@@ -42,12 +42,16 @@ def run_backtest(
     require_both_classes: bool = True,
     output: str | None = None,
     scorers: Mapping[str, Scorer] = SCORERS,
+    store: str | None = None,
+    now: dt.datetime | None = None,
 ) -> Backtest:
     """Fit, score and measure every model on every validation year.
 
     ``training`` should be pinned: it is read once per fit. Scores of all
     splits that could be fitted are returned; splits below the minimum sizes
     have no metrics. ``output`` names a folder for the report files.
+    ``store`` names a warehouse: scores and split metrics are upserted there as
+    of ``now``, and what the checks found is stored as quality results.
     """
     unknown = [name for name in models if name not in scorers]
     if unknown:
@@ -73,7 +77,11 @@ def run_backtest(
     skipped += [f"{year}: too few rows" for year in fittable if year not in large]
     fits = [scorers[name](training, fittable) for name in models]
     scores = pin(reduce(DataFrame.unionByName, [fit.rows for fit in fits]), "backtest-scores")
-    _check_scores(scores, sum(stats[year].valid_rows for year in fittable) * len(models), fittable)
+    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    expected = sum(stats[year].valid_rows for year in fittable) * len(models)
+    _check_scores(scores, expected, fittable, store, run_id, now)
+    if store:
+        _store_scores(training, scores, fits, store, run_id, now)
     if output:
         for fit in fits:
             _write_models(training, fit, output)
@@ -81,6 +89,8 @@ def run_backtest(
         return Backtest(scores, None, None, None, skipped)
     measured = scores.where(F.col("year").isin(*large))
     splits = pin(_measure(measured, fits, large, run_id, top_fraction), "backtest-splits")
+    if store:
+        warehouse.save_backtest(training.sparkSession, store, splits, now, run_id)
     summary = metrics.model_summary(splits)
     claims = reports.claims(summary)
     if output:
@@ -93,13 +103,40 @@ def run_backtest(
     return Backtest(scores, splits, summary, claims, skipped)
 
 
-def _check_scores(scores: DataFrame, expected_rows: int, years: Sequence[int]) -> None:
+def _check_scores(
+    scores: DataFrame, expected_rows: int, years: Sequence[int], store: str | None, run_id: str, now: dt.datetime
+) -> None:
     found = checks.score_checks(scores).unionByName(checks.backtest_checks(scores, years))
-    statistics = checks.raise_on_failures(found, "scored rows")
+    if store:
+        spark = scores.sparkSession
+        statistics = warehouse.record_checks(spark, store, found, run_id, "scored_rows", now)
+    else:
+        statistics = checks.raise_on_failures(found, "scored rows")
     if statistics["row_count"] != expected_rows:
         raise ValueError("scored rows differ from validation rows")
 
 
+def _store_scores(
+    training: DataFrame, scores: DataFrame, fits: Sequence[scoring.Scored], store: str, run_id: str, now: dt.datetime
+) -> None:
+    """Upsert the scores, and compare what is stored of each version with the rows of its year."""
+    spark = scores.sparkSession
+    warehouse.save_scores(spark, store, scoring.stored_scores(scores, now), now, run_id)
+    stored = warehouse.current_table(spark, store, "risk_score")
+    for fit in fits:
+        for year, version in fit.versions.items():
+            rows = checks.stored_score_count(stored, training, version, year).first().row_count
+            if rows != fit.splits[year].valid_rows:
+                raise ValueError(f"{version}: {rows} stored scores for {fit.splits[year].valid_rows} rows")
+
+
+def score_from_models(panel: DataFrame, output: str, versions: Mapping[int, str]) -> DataFrame:
+    """Score years of a panel with the models that an earlier run wrote to ``output``."""
+    paths = {year: f"{output}/models/{version}/metadata" for year, version in versions.items()}
+    models = {year: read_metadata(panel.sparkSession, path) for year, path in paths.items()}
+    return scoring.score_with_models(panel, models)
+
+
 def _measure(
     scores: DataFrame, fits: Sequence[scoring.Scored], years: Sequence[int], run_id: str, top_fraction: float
 ) -> DataFrame:

@@ -8,13 +8,15 @@ shuffles, with AQE splitting the partitions of busy mines.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodlens.operators.checks import require_constraints
+from periodlens.operators import checks, panel
 from periodlens.operators.merge import absent_rows, insert_if_absent, upsert
-from periodlens.sources.tables import append_version, latest_run, read_version, upsert_version
+from periodlens.plans import reports
+from periodlens.sources.tables import append_version, latest_run, read_version, upsert_version, write_version
 
 # Constants of the dimension.
 SOURCE_SYSTEM = "MSHA"
@@ -57,6 +59,10 @@ BACKTEST_SCHEMA = (
     "roc_auc decimal(10,6), pr_auc decimal(10,6), precision_at_top_decile decimal(10,6), "
     "recall_at_top_decile decimal(10,6), lift_vs_base_rate decimal(10,6), created_at timestamp_ntz"
 )
+QUALITY_SCHEMA = (
+    "dq_key bigint, run_id string, test_name string, entity_name string, status string, failure_count int, "
+    "severity string, checked_at timestamp"
+)
 
 TABLES = {
     "mine": MINE_SCHEMA,
@@ -66,8 +72,19 @@ TABLES = {
     "assessed_violation": ASSESSED_SCHEMA,
     "risk_score": SCORE_SCHEMA,
     "backtest_result": BACKTEST_SCHEMA,
+    "quality_result": QUALITY_SCHEMA,
 }
 
+# Names of the stored tables in quality results and the freshness report.
+ENTITIES = {
+    "mine": "dim_mine",
+    "employment": "fact_msha_employment_production",
+    "incident": "fact_msha_incident",
+    "violation": "fact_msha_violation",
+    "assessed_violation": "fact_msha_assessed_violation",
+    "risk_score": "fact_risk_score",
+    "backtest_result": "fact_backtest_result",
+}
 
 MINE_KEYS = ["mine_id", "source_system"]
 SCORE_KEYS = ["mine_key", "period_key", "model_version"]
@@ -228,14 +245,54 @@ def store_backtest(target: DataFrame, results: DataFrame, now: dt.datetime, high
     )
 
 
-def _current(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+def current_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    """The newest version of a stored table; empty if it was never written."""
     try:
         return read_version(spark, f"{warehouse}/{name}")
     except FileNotFoundError:
         return empty_table(spark, name)
 
 
-def save_scores(spark: SparkSession, warehouse: str, scores: DataFrame, now: dt.datetime, buckets: int = 64) -> list[int]:
+def record_checks(
+    spark: SparkSession, warehouse: str, found: DataFrame, run_id: str, entity: str, now: dt.datetime
+) -> dict[str, int]:
+    """Store check rows as quality results, then raise if one of them failed; returns the statistics.
+
+    Failures are stored too, before they stop the job. ``found`` has one row
+    per check, which is all that reaches the driver.
+    """
+    counts = found.collect()
+    rows = spark.createDataFrame(counts, found.schema)
+    results = checks.quality_results(rows, run_id, entity, now)
+    highest = current_table(spark, warehouse, "quality_result").agg(F.max("dq_key")).first()[0] or 0
+    names = sorted(row.test_name for row in counts if not row.is_statistic)
+    places = F.array_position(F.array(*[F.lit(name) for name in names]), F.col("test_name"))
+    stored = results.withColumn("dq_key", places + F.lit(highest))
+    columns = [F.col(c.name).cast(c.dataType) for c in empty_table(spark, "quality_result").schema]
+    append_version(
+        stored.select(*columns).coalesce(1),
+        f"{warehouse}/quality_result",
+        lambda df: checks.require_constraints(df, "quality_result"),
+    )
+    return checks.raise_on_counts(counts, entity)
+
+
+def _constraint_check(
+    spark: SparkSession, warehouse: str, table: str, run_id: str, now: dt.datetime, mines: DataFrame | None = None
+) -> Callable[[DataFrame], None]:
+    def check(df: DataFrame) -> None:
+        report = checks.constraint_report(df, table, mines)
+        try:
+            record_checks(spark, warehouse, report, run_id, ENTITIES[table], now)
+        except ValueError as error:
+            raise ValueError(f"{table} violates constraints: {error}") from error
+
+    return check
+
+
+def save_scores(
+    spark: SparkSession, warehouse: str, scores: DataFrame, now: dt.datetime, run_id: str = "scores", buckets: int = 64
+) -> list[int]:
     """Upsert scores into the stored table and check its constraints; returns the buckets that were written."""
     return upsert_version(
         scores,
@@ -244,12 +301,14 @@ def save_scores(spark: SparkSession, warehouse: str, scores: DataFrame, now: dt.
         lambda old, new, highest: store_scores(old, new, now, highest),
         SCORE_SCHEMA,
         "risk_score_key",
-        lambda df: require_constraints(df, "risk_score"),
+        _constraint_check(spark, warehouse, "risk_score", run_id, now),
         buckets,
     )
 
 
-def save_backtest(spark: SparkSession, warehouse: str, results: DataFrame, now: dt.datetime) -> list[int]:
+def save_backtest(
+    spark: SparkSession, warehouse: str, results: DataFrame, now: dt.datetime, run_id: str = "backtest"
+) -> list[int]:
     """Upsert split metrics into the stored table, one row for each model version and year, and check its constraints."""
     return upsert_version(
         results,
@@ -258,11 +317,41 @@ def save_backtest(spark: SparkSession, warehouse: str, results: DataFrame, now:
         lambda old, new, highest: store_backtest(old, new, now, highest),
         BACKTEST_SCHEMA,
         "backtest_result_key",
-        lambda df: require_constraints(df, "backtest_result"),
+        _constraint_check(spark, warehouse, "backtest_result", run_id, now),
         1,
     )
 
 
+def run_panel(spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str = "panel") -> DataFrame:
+    """Build the panel from the stored facts, check it and make it the current one.
+
+    The panel is written once, aside. Base, label and feature checks read it
+    there and their results are stored; a failed check raises, and the panel
+    that was current before stays so.
+    """
+    facts = [current_table(spark, warehouse, name) for name in ("employment", "incident", "violation")]
+
+    def check(whole: DataFrame) -> None:
+        base, labels = panel.base_view(whole), panel.label_view(whole)
+        features, training = panel.feature_view(whole), panel.training_view(whole)
+        found = {
+            "mine_quarter_base": checks.base_checks(base),
+            "mine_quarter_labels": checks.label_checks(labels, base),
+            "mine_quarter_features": checks.feature_checks(features, labels, training),
+        }
+        for entity, counts in found.items():
+            record_checks(spark, warehouse, counts, run_id, entity, now)
+
+    write_version(panel.build_panel(*facts), f"{warehouse}/mine_quarter", check)
+    return read_version(spark, f"{warehouse}/mine_quarter")
+
+
+def stored_freshness(spark: SparkSession, warehouse: str, as_of: dt.datetime) -> DataFrame:
+    """Freshness report over the stored tables and quality results."""
+    sources = {entity: current_table(spark, warehouse, name) for name, entity in ENTITIES.items()}
+    return reports.source_freshness(sources, current_table(spark, warehouse, "quality_result"), as_of)
+
+
 def run_warehouse_load(
     spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str | None = None, buckets: int = 64
 ) -> dict[str, int]:
@@ -272,7 +361,7 @@ def run_warehouse_load(
     written anew; the other tables get one more part with the rows they lack,
     and none if they lack none. New rows count only if they keep the table's
     constraints; else the load stops, and that table and the ones after it stay
-    as they were.
+    as they were. What the constraints found is stored as quality results.
     """
 
     def staged(table: str) -> DataFrame:
@@ -291,10 +380,10 @@ def run_warehouse_load(
         lambda old, new, highest: load_mines(old, new, now, highest),
         MINE_SCHEMA,
         "mine_key",
-        lambda df: require_constraints(df, "mine"),
+        _constraint_check(spark, warehouse, "mine", run, now),
         buckets,
     )
-    mines = _current(spark, warehouse, "mine")
+    mines = current_table(spark, warehouse, "mine")
     changed = {"mine": rows.count()}
     steps = {
         "employment": ("stg_msha_employment_production", employment_rows),
@@ -303,8 +392,8 @@ def run_warehouse_load(
         "assessed_violation": ("stg_msha_assessed_violations", assessed_rows),
     }
     for name, (table, to_rows) in steps.items():
-        new = absent_rows(_current(spark, warehouse, name), to_rows(of_run(table), mines, now), *ADDED_TABLES[name])
+        new = absent_rows(current_table(spark, warehouse, name), to_rows(of_run(table), mines, now), *ADDED_TABLES[name])
         changed[name] = append_version(
-            new, f"{warehouse}/{name}", lambda df, name=name: require_constraints(df, name, mines)
+            new, f"{warehouse}/{name}", _constraint_check(spark, warehouse, name, run, now, mines)
         )
     return changed

@@ -248,3 +248,8 @@ def write_metadata(spark: SparkSession, metadata: dict, path: str) -> None:
     """Model metadata as one JSON line."""
     line = spark.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "value string")
     line.write.mode("overwrite").text(path)
+
+
+def read_metadata(spark: SparkSession, path: str) -> dict:
+    """Model metadata as ``write_metadata`` wrote it."""
+    return json.loads(spark.read.text(path).first().value)

@@ -1,13 +1,15 @@
+import datetime as dt
 import json
 
 import pytest
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
-from periodlens.operators import panel
-from periodlens.plans import backtest
+from periodlens.operators import panel, scoring
+from periodlens.plans import backtest, warehouse
 from periodlens.session import pin
 from periodlens.sources import star_tables
+from periodlens.sources.tables import append_version, read_version
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -37,6 +39,67 @@ def test_run_writes_reports(spark, training, tmp_path):
     assert metadata["validation_year"] == 2000 and len(metadata["coefficients"]) == 11
     model = LogisticRegressionModel.load(f"{out}/models/{version}/model")
     assert model.intercept == metadata["intercept"]
+    again = backtest.score_from_models(training, out, {2000: version})
+    assert again.count() > 0 and again.exceptAll(run.scores.where(F.col("model_version") == version)).count() == 0
+
+
+def test_stored_models_that_do_not_fit_are_refused(training):
+    width = len(panel.FEATURES)
+    model = {
+        "model_version": "v",
+        "feature_columns": list(panel.FEATURES),
+        "scaler_mean": [0.0] * width,
+        "scaler_scale": [1.0] * width,
+        "coefficients": [0.0] * width,
+        "intercept": 0.0,
+    }
+    rows = scoring.score_with_models(training, {2000: model}).collect()
+    assert len(rows) == training.where("year = 2000").count() and {r.risk_score for r in rows} == {0.5}
+    for change, message in (
+        ({"coefficients": [1.0]}, "coefficients of 2000 has 1 values"),
+        ({"scaler_scale": [0.0] * width}, "divides by zero"),
+        ({"feature_columns": ["other"] * width}, "missing from the panel"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            scoring.score_with_models(training, {2000: {**model, **change}})
+    with pytest.raises(ValueError, match="other features"):
+        scoring.score_with_models(training, {2000: model, 2001: {**model, "feature_columns": ["x"]}})
+
+
+def test_gradient_tells_a_fitted_model_from_another(training):
+    fitted = scoring.score_logistic(training, [2000])
+    assert scoring.logistic_gradients(training, fitted).first().largest_gradient < 1e-4
+    fitted.fitted[2000]["intercept"] += 0.1
+    assert scoring.logistic_gradients(training, fitted).first().largest_gradient > 1e-3
+
+
+def test_jobs_store_scores_results_and_checks(spark, tmp_path):
+    facts = star_tables.load_facts(spark, FOLDER)
+    home, early, late = str(tmp_path / "warehouse"), dt.datetime(2001, 3, 1), dt.datetime(2001, 3, 9)
+    for name, rows in (("employment", facts.employment), ("incident", facts.incidents), ("violation", facts.violations)):
+        append_version(rows, f"{home}/{name}")
+    whole = warehouse.run_panel(spark, home, early)
+    training = panel.training_view(whole)
+    for now in (early, late):
+        backtest.run_backtest(training, [2000], ["rule_score"], "run", min_validation_rows=1, store=home, now=now)
+    scores = warehouse.current_table(spark, home, "risk_score")
+    assert scores.count() == training.where("year = 2000").count()
+    assert [r[0] for r in scores.select("prediction_ts").distinct().collect()] == [late]
+    assert [r.backtest_result_key for r in warehouse.current_table(spark, home, "backtest_result").collect()] == [1]
+    quality = warehouse.current_table(spark, home, "quality_result")
+    keys = sorted(r.dq_key for r in quality.collect())
+    assert keys == list(range(1, len(keys) + 1)) and quality.where("status <> 'PASS'").count() == 0
+    report = {r.entity_name: r for r in warehouse.stored_freshness(spark, home, late).collect()}
+    assert report["fact_risk_score"].latest_quality_check_ts == late
+    assert report["fact_risk_score"].freshness_status == "Fresh" and report["dim_mine"].freshness_status == "Missing"
+
+    bad = facts.employment.limit(1).withColumn("employee_hours", F.lit(-1e9).cast("decimal(14,2)"))
+    append_version(bad, f"{home}/employment")
+    with pytest.raises(ValueError, match="mine_quarter_base.*negative_denominator"):
+        warehouse.run_panel(spark, home, late)
+    failed = warehouse.current_table(spark, home, "quality_result").where("status = 'FAIL'").collect()
+    assert [(r.test_name, r.severity, r.failure_count) for r in failed] == [("negative_denominator", "CRITICAL", 1)]
+    assert read_version(spark, f"{home}/mine_quarter").count() == whole.count()
 
 
 def test_small_and_single_class_splits_are_skipped(training):

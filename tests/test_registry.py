@@ -25,7 +25,19 @@ def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["features_full", "rule_scores", "top_risk", "dim_upsert", "staging_statistics"])
+@pytest.mark.parametrize(
+    "name",
+    [
+        "features_full",
+        "rule_scores",
+        "top_risk",
+        "dim_upsert",
+        "staging_statistics",
+        "logistic_given",
+        "logistic_optimality",
+        "quality_store",
+    ],
+)
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
