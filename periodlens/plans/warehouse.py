@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 from periodlens.operators import checks, panel
 from periodlens.operators.merge import absent_rows, insert_if_absent, upsert
 from periodlens.plans import reports
-from periodlens.sources.tables import append_version, latest_run, read_version, upsert_version, write_version
+from periodlens.session import drop_scratch, scratch_path
+from periodlens.sources.tables import append_version, latest_run, read_parts, read_version, upsert_version
+from periodlens.sources.tables import version_folders, version_notes, write_version
 
 # Constants of the dimension.
 SOURCE_SYSTEM = "MSHA"
@@ -64,6 +67,9 @@ QUALITY_SCHEMA = (
     "severity string, checked_at timestamp"
 )
 
+# Tables that the panel is built from.
+FACTS = ("employment", "incident", "violation")
+
 TABLES = {
     "mine": MINE_SCHEMA,
     "employment": EMPLOYMENT_SCHEMA,
@@ -329,7 +335,14 @@ def run_panel(spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str
     there and their results are stored; a failed check raises, and the panel
     that was current before stays so.
     """
-    facts = [current_table(spark, warehouse, name) for name in ("employment", "incident", "violation")]
+    facts = [current_table(spark, warehouse, name) for name in FACTS]
+    check = _panel_check(spark, warehouse, now, run_id)
+    write_version(panel.build_panel(*facts), f"{warehouse}/mine_quarter", check)
+    return read_version(spark, f"{warehouse}/mine_quarter")
+
+
+def _panel_check(spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str) -> Callable[[DataFrame], None]:
+    """Base, label and feature checks of a panel, or of whole mines of it."""
 
     def check(whole: DataFrame) -> None:
         base, labels = panel.base_view(whole), panel.label_view(whole)
@@ -342,8 +355,68 @@ def run_panel(spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str
         for entity, counts in found.items():
             record_checks(spark, warehouse, counts, run_id, entity, now)
 
-    write_version(panel.build_panel(*facts), f"{warehouse}/mine_quarter", check)
-    return read_version(spark, f"{warehouse}/mine_quarter")
+    return check
+
+
+def refresh_panel(
+    spark: SparkSession, warehouse: str, now: dt.datetime, run_id: str = "panel", buckets: int = 64
+) -> list[int]:
+    """Bring the stored panel up to the stored facts; returns the buckets that were written.
+
+    A panel remembers the fact parts it was built from. Mines that occur in
+    parts added since are built anew from all their facts, with their windows,
+    and only the buckets they fall into are written again, rows of other mines
+    in them copied. All quarters of a mine share a bucket, so the checks, which
+    see the buckets that are written, miss no pair of quarters. Facts are only
+    ever added, so a mine loses no quarter; if parts have gone, or the stored
+    panel is not kept in buckets, it is built whole.
+    """
+    root = f"{warehouse}/mine_quarter"
+    parts = {name: _parts(spark, f"{warehouse}/{name}") for name in FACTS}
+    seen = (version_notes(spark, root) or {}).get("built_from")
+    whole = seen is None or any(set(seen[name]) - set(parts[name]) for name in FACTS)
+    facts = [current_table(spark, warehouse, name) for name in FACTS]
+    scratch = [scratch_path(spark, label) for label in ("changed_mines", "refreshed_mines")]
+
+    def stored(df: DataFrame, path: str) -> DataFrame:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def merge(old: DataFrame, new: DataFrame, highest: int) -> DataFrame:
+        return old.join(new.select("mine_key").distinct(), "mine_key", "left_anti").unionByName(new)
+
+    try:
+        if not whole:
+            added = {name: [part for part in parts[name] if part not in seen[name]] for name in FACTS}
+            if not any(added.values()):
+                return []
+            mines = [
+                read_parts(spark, f"{warehouse}/{name}", new).select("mine_key") for name, new in added.items() if new
+            ]
+            changed = stored(reduce(DataFrame.union, mines).distinct(), scratch[0])
+            facts = [fact.join(changed, "mine_key", "left_semi") for fact in facts]
+        rows = stored(panel.build_panel(*facts), scratch[1])
+        return upsert_version(
+            rows,
+            root,
+            ["mine_key"],
+            merge,
+            rows.schema,
+            check=_panel_check(spark, warehouse, now, run_id),
+            buckets=buckets,
+            notes={"built_from": parts},
+            whole=whole,
+        )
+    finally:
+        for path in scratch:
+            drop_scratch(spark, path)
+
+
+def _parts(spark: SparkSession, root: str) -> list[str]:
+    try:
+        return version_folders(spark, root)
+    except FileNotFoundError:
+        return []
 
 
 def stored_freshness(spark: SparkSession, warehouse: str, as_of: dt.datetime) -> DataFrame:

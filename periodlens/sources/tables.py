@@ -172,6 +172,8 @@ def upsert_version(
     surrogate: str | None = None,
     check: Callable[[DataFrame], None] | None = None,
     buckets: int = 64,
+    notes: dict | None = None,
+    whole: bool = False,
 ) -> list[int]:
     """Merge ``rows`` into a table that is kept in buckets by ``keys``; returns the buckets that were written.
 
@@ -179,17 +181,19 @@ def upsert_version(
     ``merge(old rows, new rows, highest surrogate)``; the new version names the
     old folders of all others. ``rows`` is read twice, so it should be stored.
     The number of buckets is fixed when the table begins: about its size in
-    bytes / 128 MB.
+    bytes / 128 MB. ``notes`` are kept with the version (``version_notes``).
+    With ``whole`` the rows replace the table, which begins anew.
     """
     spark = rows.sparkSession
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     known = _versions(spark, root)
-    last = _list_of(spark, root, known[-1]) if known else {"folders": [], "buckets": buckets, "keys": keys}
+    anew = whole or not known
+    last = {"folders": [], "buckets": buckets, "keys": keys} if anew else _list_of(spark, root, known[-1])
     if last["keys"] != keys:
         raise ValueError(f"{root} is not bucketed by {keys}")
     bucket = bucket_of(keys, last["buckets"])
     touched = sorted(row[0] for row in rows.select(bucket).distinct().collect())
-    if not touched:
+    if not touched and not whole:
         return []
     names = {int(folder.rpartition(f"{BUCKET}=")[2]): folder for folder in last["folders"]}
     old = _read_folders(spark, root, [names[b] for b in touched if b in names], schema)
@@ -200,6 +204,7 @@ def upsert_version(
     part, _ = _new_part(merged.repartition(F.col(BUCKET)), root, check, last["buckets"])
     names |= {b: f"{part}/{BUCKET}={b}" for b in touched}
     content = {"folders": [names[b] for b in sorted(names)], "schema": schema.json(), "keys": keys, "buckets": last["buckets"]}
+    content["notes"] = notes or {}
     _write_list(spark, root, (known or [0])[-1] + 1, content)
     return touched
 
@@ -212,6 +217,20 @@ def version_folders(spark: SparkSession, root: str, number: int | None = None) -
     return [f"{root}/{folder}" for folder in _list_of(spark, root, number or known[-1])["folders"]]
 
 
+def version_notes(spark: SparkSession, root: str) -> dict | None:
+    """Notes of the newest version; None if there is no version or it is not kept in buckets."""
+    known = _versions(spark, root)
+    content = _list_of(spark, root, known[-1]) if known else {}
+    return content.get("notes", {}) if content.get("buckets") else None
+
+
+def read_parts(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    """Rows of some folders of the newest version, as ``version_folders`` names them."""
+    content = _list_of(spark, root, _versions(spark, root)[-1])
+    inside = [folder.removeprefix(f"{root}/") for folder in folders]
+    return _read_folders(spark, root, inside, T.StructType.fromJson(json.loads(content["schema"])))
+
+
 def read_version(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
     """A version of a table, the newest by default."""
     known = _versions(spark, root)

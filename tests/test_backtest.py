@@ -9,7 +9,7 @@ from periodlens.operators import panel, scoring
 from periodlens.plans import backtest, warehouse
 from periodlens.session import pin
 from periodlens.sources import star_tables
-from periodlens.sources.tables import append_version, read_version
+from periodlens.sources.tables import append_version, read_version, version_folders, write_version
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -102,6 +102,55 @@ def test_jobs_store_scores_results_and_checks(spark, tmp_path):
     assert read_version(spark, f"{home}/mine_quarter").count() == whole.count()
 
 
+def test_refresh_rebuilds_only_mines_with_new_facts(spark, tmp_path):
+    facts = star_tables.load_facts(spark, FOLDER)
+    home, now = str(tmp_path / "warehouse"), dt.datetime(2001, 3, 1)
+    by_mine = [r.mine_key for r in facts.employment.groupBy("mine_key").agg(F.count("*").alias("n")).orderBy("mine_key").collect()]
+    late = by_mine[3]
+    tables = dict(zip(warehouse.FACTS, (facts.employment, facts.incidents, facts.violations), strict=True))
+    for name, rows in tables.items():
+        append_version(rows.where((F.col("mine_key") != late) | F.lit(name != "incident")), f"{home}/{name}")
+    assert len(warehouse.refresh_panel(spark, home, now, buckets=8)) == 8
+    assert warehouse.refresh_panel(spark, home, now, buckets=8) == []
+
+    before = version_folders(spark, f"{home}/mine_quarter")
+    rest = tables["incident"].where(F.col("mine_key") == late)
+    own = facts.employment.where(F.col("mine_key") == late).select("period_key").first()[0]
+    event = tables["incident"].limit(1).withColumn("mine_key", F.lit(late).cast("long"))
+    append_version(rest.unionByName(event.withColumn("incident_quarter", F.lit(own))), f"{home}/incident")
+    written = warehouse.refresh_panel(spark, home, now, buckets=8)
+    assert len(written) == 1
+    after = version_folders(spark, f"{home}/mine_quarter")
+    assert len(set(before) & set(after)) == 7
+
+    stored = warehouse.current_table(spark, home, "mine_quarter")
+    built = panel.build_panel(*[warehouse.current_table(spark, home, name) for name in warehouse.FACTS])
+    assert stored.exceptAll(built).count() == 0 and built.exceptAll(stored).count() == 0
+    assert stored.where((F.col("mine_key") == late) & (F.col("incident_count_current_qtr") > 0)).count() > 0
+
+    bad = facts.employment.where(F.col("mine_key") == late).limit(1)
+    append_version(bad.withColumn("employee_hours", F.lit(-1e9).cast("decimal(14,2)")), f"{home}/employment")
+    with pytest.raises(ValueError, match="negative_denominator"):
+        warehouse.refresh_panel(spark, home, now, buckets=8)
+    assert version_folders(spark, f"{home}/mine_quarter") == after
+
+
+def test_refresh_builds_whole_if_parts_are_unknown(spark, tmp_path):
+    facts = star_tables.load_facts(spark, FOLDER)
+    home, now = str(tmp_path / "warehouse"), dt.datetime(2001, 3, 1)
+    for name, rows in zip(warehouse.FACTS, (facts.employment, facts.incidents, facts.violations), strict=True):
+        append_version(rows, f"{home}/{name}")
+    whole = warehouse.run_panel(spark, home, now)
+    assert len(warehouse.refresh_panel(spark, home, now, buckets=4)) == 4
+    stored = warehouse.current_table(spark, home, "mine_quarter")
+    assert stored.exceptAll(whole).count() == 0 and stored.count() == whole.count()
+    half = facts.employment.where(F.col("mine_key") % 2 == 0)
+    write_version(half, f"{home}/employment")
+    warehouse.refresh_panel(spark, home, now, buckets=4)
+    stored = warehouse.current_table(spark, home, "mine_quarter")
+    assert stored.count() == half.select("mine_key", "period_key").distinct().count()
+
+
 def test_small_and_single_class_splits_are_skipped(training):
     small = backtest.run_backtest(training, [2000], ["rule_score"], min_train_rows=10**9)
     assert small.splits is None and small.scores.count() > 0 and len(small.skipped) == 1
