@@ -7,14 +7,14 @@ the driver; rows are scored with column expressions.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodlens.operators.ordering import exact_quantiles
@@ -304,36 +304,118 @@ def population_scaler(
     }
 
 
-def fit_logistic(
-    train: DataFrame,
-    scaler: Mapping[str, tuple[float, float]],
-    split: SplitStats,
-    c: float = 1.0,
-    max_iter: int = 1000,
-    tol: float = 1e-7,
-) -> LogisticRegressionModel:
-    """L2-penalised fit with balanced class weights and a free intercept.
+def _copies_by_year(imputed: DataFrame, years: Iterable[int], features: Sequence[str]) -> DataFrame:
+    """Each training row once for every one of the years that are after its own."""
+    later = F.filter(F.array(*[F.lit(year) for year in years]), lambda year: year > F.col("year"))
+    return imputed.select(F.explode(later).alias("year"), F.col(LABEL).cast("double").alias(LABEL), *features)
+
+
+def _class_weights(split: SplitStats) -> dict[str, float]:
+    """Balanced weights, which sum to the row count."""
+    return {
+        "_positive": split.train_rows / (2.0 * split.train_positives),
+        "_negative": split.train_rows / (2.0 * (split.train_rows - split.train_positives)),
+    }
 
-    ``c`` is the inverse penalty on the summed loss; Spark averages the loss,
-    and balanced weights sum to the row count, hence 1 / (c * rows).
+
+def _log_loss(
+    imputed: DataFrame, values: Mapping[int, Mapping[str, float]], features: Sequence[str]
+) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
+    """Balanced log loss by row, its gradient and its Hessian at the coefficients of each year.
+
+    One pass for all years: the sums are made map-side, and a row of some
+    squared number of features for each year is all that is shuffled.
     """
-    rows, positives = split.train_rows, split.train_positives
-    weight = F.when(F.col(LABEL) == 1, rows / (2.0 * positives)).otherwise(rows / (2.0 * (rows - positives)))
-    scaled = train.select(
-        F.col(LABEL).cast("double").alias("label"),
-        weight.alias("weight"),
-        *[((F.col(f) - F.lit(mean)) / F.lit(scale)).alias(f) for f, (mean, scale) in scaler.items()],
+    total = reduce(add, [_scaled(f) * F.col(f"_coefficient_{f}") for f in features]) + F.col("_intercept")
+    weight = F.when(F.col(LABEL) == 1, F.col("_positive")).otherwise(F.col("_negative"))
+    rows = _with_year_values(_copies_by_year(imputed, values, features), values).select(
+        "year", LABEL, weight.alias("_weight"), total.alias("_total"), *[_scaled(f).alias(f) for f in features]
     )
-    assembled = VectorAssembler(inputCols=list(scaler), outputCol="features").transform(scaled)
-    estimator = LogisticRegression(
-        weightCol="weight",
-        regParam=1.0 / (c * rows),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=max_iter,
-        tol=tol,
+    probability, x = 1.0 / (1.0 + F.exp(-F.col("_total"))), [*[F.col(f) for f in features], F.lit(1.0)]
+    rows = rows.withColumns(
+        {
+            "_loss": F.col("_weight")
+            * (F.log1p(F.exp(-F.abs("_total"))) + F.greatest("_total", F.lit(0.0)) - F.col(LABEL) * F.col("_total")),
+            "_error": F.col("_weight") * (probability - F.col(LABEL)),
+            "_bend": F.col("_weight") * probability * (1.0 - probability),
+        }
     )
-    return estimator.fit(assembled.select("features", "label", "weight"))
+    pairs = [(i, j) for i in range(len(x)) for j in range(i + 1)]
+    sums = [F.avg("_loss")] + [F.avg(F.col("_error") * c) for c in x]
+    sums += [F.avg(F.col("_bend") * x[i] * x[j]) for i, j in pairs]
+    found = {}
+    for row in rows.groupBy("year").agg(*[c.alias(f"_{n}") for n, c in enumerate(sums)]).collect():
+        numbers = np.array(row[1:])
+        hessian = np.zeros((len(x), len(x)))
+        for (i, j), value in zip(pairs, numbers[1 + len(x) :], strict=True):
+            hessian[i, j] = hessian[j, i] = value
+        found[row["year"]] = float(numbers[0]), numbers[1 : 1 + len(x)], hessian
+    return found
+
+
+def fit_logistic(
+    imputed: DataFrame,
+    scalers: Mapping[int, Mapping[str, tuple[float, float]]],
+    splits: Mapping[int, SplitStats],
+    c: float = 1.0,
+    max_iter: int = 100,
+    tol: float = 1e-9,
+) -> dict[int, dict]:
+    """L2-penalised fit of every year with balanced class weights and a free intercept.
+
+    ``c`` is the inverse penalty on the summed loss; the loss is averaged here,
+    hence 1 / (c * rows). Newton's method for all years together: a step reads
+    ``imputed`` once, so it should be stored, and years that have ended are left
+    out. A step that raises the loss is halved. A year ends when no component
+    of its gradient, by row, reaches ``tol``; years that do not end raise.
+    """
+    features = list(next(iter(scalers.values())))
+    # Averages of many rows; what rounding may add to a loss.
+    slack = 1e-12
+    trial = {year: np.zeros(len(features) + 1) for year in scalers}
+    best: dict[int, tuple[float, np.ndarray]] = {}
+    ended: dict[int, dict] = {}
+    for _ in range(max_iter):
+        models = {year: _model(scalers[year], beta) for year, beta in trial.items()}
+        values = _logistic_values(models, features)
+        weighted = {year: {**numbers, **_class_weights(splits[year])} for year, numbers in values.items()}
+        for year, (loss, gradient, hessian) in _log_loss(imputed, weighted, features).items():
+            beta = trial[year]
+            penalty = np.append(np.full(len(features), 1.0 / (c * splits[year].train_rows)), 0.0)
+            loss += float(penalty @ beta**2) / 2.0
+            if year in best and not loss <= best[year][0] * (1.0 + slack):
+                trial[year] = (best[year][1] + beta) / 2.0
+                continue
+            best[year] = loss, beta
+            gradient = gradient + penalty * beta
+            if np.abs(gradient).max() < tol:
+                ended[year] = models[year]
+                del trial[year]
+                continue
+            # The shortest step if features depend on each other and the penalty is lost in rounding.
+            trial[year] = beta - np.linalg.lstsq(hessian + np.diag(penalty), gradient, rcond=None)[0]
+        if not trial:
+            return {year: ended[year] for year in scalers}
+    raise RuntimeError(f"no fit within {max_iter} steps for {sorted(trial)}")
+
+
+def _model(scaler: Mapping[str, tuple[float, float]], beta: np.ndarray) -> dict:
+    return {
+        "scaler_mean": [mean for mean, _ in scaler.values()],
+        "scaler_scale": [scale for _, scale in scaler.values()],
+        "coefficients": beta[:-1].tolist(),
+        "intercept": float(beta[-1]),
+    }
+
+
+def spark_model(spark: SparkSession, model: Mapping) -> LogisticRegressionModel:
+    """A fitted year as a model of Spark's, for scaled features, so that it can be saved and loaded as one."""
+    numbers = spark._sc._gateway.new_array(spark._jvm.double, len(model["coefficients"]))
+    for i, value in enumerate(model["coefficients"]):
+        numbers[i] = value
+    vector = spark._jvm.org.apache.spark.ml.linalg.Vectors.dense(numbers)
+    made = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel("logreg", vector, model["intercept"])
+    return LogisticRegressionModel(made)
 
 
 def score_logistic(
@@ -343,24 +425,18 @@ def score_logistic(
     name: str = "logreg",
     tag: str | None = "mvp11",
     c: float = 1.0,
-    max_iter: int = 1000,
+    max_iter: int = 100,
 ) -> Scored:
-    """Class-1 probability of each validation year, fitted on earlier years."""
+    """Class-1 probability of each validation year, fitted on earlier years.
+
+    ``training`` is read once for each step of the fit, so it should be stored.
+    """
     splits = split_stats(training, years)
     require_usable(splits)
     imputed = impute_zero(training, features)
     scalers = population_scaler(imputed, years, features)
-    fitted, models = {}, {}
-    for year in years:
-        scaler = scalers[year]
-        model = fit_logistic(imputed.where(F.col("year") < year), scaler, splits[year], c, max_iter)
-        models[year] = model
-        fitted[year] = {
-            "scaler_mean": [scaler[f][0] for f in features],
-            "scaler_scale": [scaler[f][1] for f in features],
-            "coefficients": model.coefficients.toArray().tolist(),
-            "intercept": float(model.intercept),
-        }
+    fitted = fit_logistic(imputed, scalers, splits, c, max_iter)
+    models = {year: spark_model(training.sparkSession, model) for year, model in fitted.items()}
     versions = {year: model_version(name, year, tag) for year in years}
     rows = _logistic_rows(imputed, fitted, versions, features)
     return Scored(rows, name, versions, splits, fitted, models)
@@ -429,16 +505,11 @@ def logistic_gradients(
     values = {
         year: {
             **model,
-            "_positive": split.train_rows / (2.0 * split.train_positives),
-            "_negative": split.train_rows / (2.0 * (split.train_rows - split.train_positives)),
+            **_class_weights(split),
         }
         for (year, model), split in zip(_logistic_values(scored.fitted, features).items(), scored.splits.values())
     }
-    # One row per validation year, listed by the driver.
-    later = F.filter(F.array(*[F.lit(year) for year in values]), lambda year: year > F.col("year"))
-    copies = impute_zero(training, features).select(
-        F.explode(later).alias("year"), F.col(LABEL).cast("double").alias(LABEL), *features
-    )
+    copies = _copies_by_year(impute_zero(training, features), values, features)
     total = reduce(add, [_scaled(f) * F.col(f"_coefficient_{f}") for f in features])
     weight = F.when(F.col(LABEL) == 1, F.col("_positive")).otherwise(F.col("_negative"))
     rows = _with_year_values(copies, values).withColumn("_error", weight * (_probability(total) - F.col(LABEL)))

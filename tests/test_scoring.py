@@ -109,6 +109,29 @@ def test_logistic_matches_newton(training):
     assert found.loc[keys].to_numpy() == pytest.approx(wanted, abs=1e-5)
 
 
+def test_years_are_fitted_together(training):
+    df, pdf = training
+    both = scoring.score_logistic(df, [2020, 2021]).fitted
+    for year in (2020, 2021):
+        alone = scoring.score_logistic(df, [year]).fitted[year]
+        assert both[year]["coefficients"] == pytest.approx(alone["coefficients"], abs=1e-9)
+    with pytest.raises(RuntimeError, match="no fit within 1 steps for .2020, 2021."):
+        scoring.score_logistic(df, [2020, 2021], max_iter=1)
+
+
+def test_fit_of_constant_equal_and_separating_features(training):
+    df, _ = training
+    first, second, third, *_ = FEATURES
+    odd = df.withColumns(
+        {first: F.lit(3.0), third: F.col(second), FEATURES[4]: F.col(LABEL) * 1000.0, FEATURES[5]: F.lit(None).cast("double")}
+    )
+    fitted = scoring.score_logistic(odd, [2021])
+    beta = dict(zip(FEATURES, fitted.fitted[2021]["coefficients"]))
+    assert [beta[first], beta[FEATURES[5]]] == pytest.approx([0.0, 0.0], abs=1e-12)
+    assert beta[second] == pytest.approx(beta[third], abs=1e-6) and beta[FEATURES[4]] > 1
+    assert scoring.logistic_gradients(odd, fitted).first().largest_gradient < 1e-8
+
+
 def test_drivers(spark):
     values = {"a": 0.5, "b": -0.9, "c": 0.0, "d": 0.5, "e": -0.1}
     row = spark.range(1).select(*[F.lit(v).alias(n) for n, v in values.items()])
