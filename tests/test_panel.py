@@ -188,3 +188,20 @@ def test_facts_are_reduced_by_hash(spark):
     plan = panel.activity_spine(employment)._jdf.queryExecution().executedPlan().toString()
     lowest = [line for line in plan.splitlines() if "Aggregate" in line][-1]
     assert "HashAggregate" in lowest and "production_unit" in lowest.split("functions=")[0]
+
+
+def test_tasks_grow_with_the_facts(spark, monkeypatch):
+    monkeypatch.setattr(panel, "ROWS_PER_TASK", 50)
+
+    def partitions(mines):
+        quarters = [f"{2010 + i // 4}Q{i % 4 + 1}" for i in range(8)]
+        spine = [(mine, quarter, 100, 10) for mine in range(mines) for quarter in quarters]
+        given = facts(spark, spine, [(mine, "2010Q1", 0) for mine in range(mines)], VIOLATIONS)
+        whole = panel.feature_view(panel.build_panel(*given))
+        plan = whole._jdf.queryExecution().executedPlan().toString()
+        assert whole.count() == 8 * mines
+        return [line.split(", ")[-3:] for line in plan.splitlines() if "REPARTITION_BY_NUM" in line], whole.rdd.getNumPartitions()
+
+    dealt, few = partitions(10)
+    assert len(dealt) == 2 and few == 2  # 96 facts
+    assert partitions(100)[1] == 19  # 906 facts
