@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from periodlens.functions import text
 from periodlens.functions.period import period_key, period_of_date
 from periodlens.operators.merge import first_per_key, require_unique
-from periodlens.session import pin
+from periodlens.session import pin, small_methods
 from periodlens.sources.delimited import (
     FILE_ORDER,
     TOO_MANY_FIELDS,
@@ -25,8 +25,9 @@ from periodlens.sources.delimited import (
 )
 from periodlens.sources.tables import read_manifest, replace_run, require_datasets
 
-_PARSERS: dict[str, Callable[[Column], Column]] = {
-    "text": text.clean_text,
+# All take cleaned texts.
+_PARSERS: dict[str, Callable[[Column, bool], Column]] = {
+    "text": lambda cleaned, _: cleaned,
     "int": text.parse_int,
     "decimal": text.parse_decimal,
     "date": text.parse_date,
@@ -121,7 +122,7 @@ def _employment_columns(raw: Mapping[str, Column], value: Mapping[str, Column])
             value["year"],
             value["quarter"],
             value["subunit_code"],
-            *[text.decimal_id_text(raw[name]) for name in measures],
+            *[text.decimal_id_text(raw[name], value[name]) for name in measures],
             value["production_unit"],
         ]
     )
@@ -264,7 +265,7 @@ def _assessed_columns(raw: Mapping[str, Column], value: Mapping[str, Column]) ->
             value["assessment_case_no"],
             value["section_code"],
             raw["assessed_date"],
-            text.decimal_id_text(raw["proposed_penalty_amount"]),
+            text.decimal_id_text(raw["proposed_penalty_amount"], value["proposed_penalty_amount"]),
         ]
     )
     amounts = ("proposed_penalty_amount", "assessment_amount", "interest_amount")
@@ -379,7 +380,7 @@ def type_rows(
         {f"_raw_{f.name}": text.clean_text(resolve(raw_rows, f.headers)) for f in dataset.fields}
     )
     raw = {f.name: F.col(f"_raw_{f.name}") for f in dataset.fields}
-    typed = cleaned.withColumns({f"_value_{f.name}": _PARSERS[f.kind](raw[f.name]) for f in dataset.fields})
+    typed = cleaned.withColumns({f"_value_{f.name}": _PARSERS[f.kind](raw[f.name], True) for f in dataset.fields})
     value = {f.name: F.col(f"_value_{f.name}") for f in dataset.fields}
     judged = typed.withColumn("reject_reason", _reject_reason(dataset, raw, value, header_required))
     accepted = F.col("reject_reason").isNull()
@@ -413,9 +414,9 @@ def stage_rows(
     A row with too many fields or unbalanced quotes fails the data set, or with
     ``on_too_many_fields="quarantine"`` is rejected like any other bad row.
     """
-    rows = pin(
-        type_rows(raw_rows, dataset, run_id, source_file_name, ingested_at, header_required), dataset.table
-    )
+    typed = type_rows(raw_rows, dataset, run_id, source_file_name, ingested_at, header_required)
+    with small_methods(raw_rows.sparkSession):
+        rows = pin(typed, dataset.table)
     rejected = rows.where(F.col("reject_reason").isNotNull())
     if on_too_many_fields == "fail":
         first = rejected.where("reject_reason IN ('too many fields', 'unbalanced quotes')").head(1)

@@ -95,3 +95,11 @@ def test_guarded_ratio(spark):
 def test_model_family(spark):
     versions = ["rule_score_v1", "logreg_v1_x", "other"]
     assert column(spark, versions, numbers.model_family) == ["rule_score", "logreg", "unknown"]
+
+
+def test_decimal_id_text_of_cleaned_numbers(spark):
+    given = ["+1,200.50", "007", ".5", "5.", "1e3", "12", "-3", "0.00", "x", None, "0.5", "00", "+.5", "2e0"]
+    expected = ["1200.50", "7", "0.5", "5", "1E3", "12", "-3", "", "", "", "0.5", "", "0.5", "2E0"]
+    found = column(spark, given, lambda c: text.decimal_id_text(c, text.parse_decimal(c)))
+    assert found == expected
+    assert column(spark, given, text.decimal_id_text) == expected

@@ -275,3 +275,20 @@ def test_bad_row_leaves_the_old_version_current(spark, tmp_path):
     with pytest.raises(ValueError, match="incident violates constraints"):
         warehouse.run_warehouse_load(spark, home, NOW, "bad")
     assert [r.lost_days for r in tables.read_version(spark, f"{home}/incident").collect()] == [100]
+
+
+def test_typing_is_not_one_large_method(spark, monkeypatch):
+    rows = spark.createDataFrame([("7", "a")], "mine_id string, mine_name string").select(
+        "*",
+        F.lit(False).alias("_too_many_fields"),
+        F.lit(False).alias("_unbalanced_quotes"),
+        F.lit("").alias("_file_path"),
+        F.lit(0).alias("_block_start"),
+        F.lit(0).alias("_line_order"),
+    )
+    seen, name, pin = [], "spark.sql.codegen.wholeStage", staging.pin
+    monkeypatch.setattr(staging, "pin", lambda df, label: (seen.append(spark.conf.get(name)), pin(df, label))[1])
+    before = spark.conf.get(name)
+    staged = staging.stage_rows(rows, staging.MINES, "run", "mines.txt", dt.datetime(2020, 1, 1))
+    assert seen == ["false"] and spark.conf.get(name) == before
+    assert staged.accepted.count() == 1
