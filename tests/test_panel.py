@@ -205,3 +205,21 @@ def test_tasks_grow_with_the_facts(spark, monkeypatch):
     dealt, few = partitions(10)
     assert len(dealt) == 2 and few == 2  # 96 facts
     assert partitions(100)[1] == 19  # 906 facts
+
+
+def test_decimals_are_summed_as_longs(spark):
+    from decimal import Decimal
+
+    given = [("7.25", "999999999999.99", "99999999999999.99"), ("-0.01", "-0.02", None), (None, "999999999999.99", "99999999999999.99")]
+    rows = [(1, "2020Q1", 2020, 1, *[x and Decimal(x) for x in measures], unit) for measures, unit in zip(given, "aab")]
+    employment = spark.createDataFrame(
+        [*rows, (2, "2020Q1", 2020, 1, None, None, None, None)],
+        "mine_key long, period_key string, year int, quarter int, avg_employees decimal(12,2), "
+        "employee_hours decimal(14,2), production_volume decimal(16,2), production_unit string",
+    )
+    spine = panel.activity_spine(employment)
+    assert [kind for _, kind in spine.dtypes[4:7]] == ["decimal(22,2)", "decimal(24,2)", "decimal(26,2)"]
+    first, second = spine.sort("mine_key").collect()
+    assert first[4:] == (Decimal("7.24"), Decimal("1999999999999.96"), Decimal("199999999999999.98"), "b")
+    assert second[4:] == (None, None, None, None)
+    assert "sum(employee_hours" not in spine._jdf.queryExecution().executedPlan().toString()
