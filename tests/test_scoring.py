@@ -184,3 +184,26 @@ def test_score_checks(training):
     version = scoring.model_version("rule_score", 2021)
     stored = checks.stored_score_count(rows, df, version, 2021).first().row_count
     assert stored == good["row_count"]
+
+
+def test_log_loss_sums_rows_where_they_are(spark, monkeypatch):
+    import numpy as np
+
+    def refuse(*_):
+        raise AssertionError("rows are copied for each year")
+
+    monkeypatch.setattr(scoring, "_copies_by_year", refuse)
+    made = [(2000 + i % 3, i % 2, float(i % 7), i / 10) for i in range(60)]
+    rows = spark.createDataFrame(made, f"year int, {scoring.LABEL} int, a double, b double")
+    numbers = {"_mean_a": 3.0, "_mean_b": 2.0, "_scale_a": 2.0, "_scale_b": 1.5, "_coefficient_a": 0.3, "_coefficient_b": -0.2}
+    values = {year: {**numbers, "_intercept": 0.1, "_positive": 1.5, "_negative": 0.5} for year in (2001, 2002)}
+    found = scoring._log_loss(rows, values, ["a", "b"])
+    for year in values:
+        seen = [row for row in made if row[0] < year]
+        x = np.array([[(a - 3.0) / 2.0, (b - 2.0) / 1.5, 1.0] for _, _, a, b in seen])
+        y, total = np.array([row[1] for row in seen]), x @ [0.3, -0.2, 0.1]
+        p, weight = 1 / (1 + np.exp(-total)), np.where(y == 1, 1.5, 0.5)
+        loss, gradient, hessian = found[year]
+        assert np.isclose(loss, np.mean(weight * (np.log1p(np.exp(total)) - y * total)))
+        assert np.allclose(gradient, (weight * (p - y)) @ x / len(y))
+        assert np.allclose(hessian, x.T @ (x * (weight * p * (1 - p))[:, None]) / len(y))
