@@ -34,6 +34,8 @@ from periodlens.session import drop_scratch, pin, scratch_path
 
 LONGEST = 4
 _NEVER = 255
+#: Hashes that a task gathers of each size before it counts them.
+_HELD = 1 << 20
 _BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
 _AHEAD = re.compile(rb"(?:[\x20\x09]*[^\x20\x09.,;:!?\x0A-\x0D]+){0,%d}" % (LONGEST - 1))
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -139,6 +141,16 @@ def _scan(shard: DataFrame, table, step: int, shards: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = table.value
+        held: dict[int, list[np.ndarray]] = {size: [] for size in range(1, LONGEST + 1)}
+
+        def flush(size: int) -> pa.RecordBatch:
+            hashes, n = np.unique(np.concatenate(held[size]), return_counts=True)
+            held[size].clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(hashes.view(np.int64)), pa.array(np.full(len(n), size, np.int8)), pa.array(n.astype(np.int64))],
+                ["hash", "size", "n"],
+            )
+
         for batch in batches:
             names, codes = _languages(batch)
             salts = _salts(names, codes)
@@ -155,12 +167,11 @@ def _scan(shard: DataFrame, table, step: int, shards: int) -> DataFrame:
                         since = np.maximum(before[at], before[at + 1])
                         active = at[(since <= step) & (since.astype(np.int64) + shards > step)]
                     if len(active):
-                        hashes, n = np.unique(whole[active], return_counts=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(hashes.view(np.int64)), pa.array(np.full(len(n), size, np.int8)), pa.array(n.astype(np.int64))],
-                            ["hash", "size", "n"],
-                        )
+                        held[size].append(whole[active])
+                        if sum(map(len, held[size])) >= _HELD:
+                            yield flush(size)
                     shorter = whole
+        yield from (flush(size) for size in held if held[size])
 
     return shard.select("lang", "text").mapInArrow(tidy(count), "hash long, size byte, n long")
 
@@ -243,7 +254,7 @@ def _count_exactly(dealt: DataFrame, frequent) -> DataFrame:
                 per_lang = np.bincount(lang[: words.counted], minlength=len(names))
                 yield _rows(names, np.arange(len(names)), 0, [""] * len(names), per_lang)
                 # Each word has a number; a frequent phrase gets one from those of its first words and its last word.
-                number = _numbers(words)
+                number, tight = _numbers(words), _Tight(words)
                 here = np.zeros(len(one), np.int64)
                 for size in range(1, LONGEST + 1):
                     if size > 1:
@@ -255,22 +266,45 @@ def _count_exactly(dealt: DataFrame, frequent) -> DataFrame:
                     if not len(at):
                         break
                     keys = (here[at] * (int(number.max()) + 1) + number[at + size - 1]) * len(names) + lang[at]
-                    _, first, same, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+                    same = pa.array(keys).dictionary_encode().indices.to_numpy().astype(np.int64)
+                    n = np.bincount(same)
+                    first = np.empty(len(n), np.int64)
+                    first[same[::-1]] = np.arange(len(same) - 1, -1, -1)
                     here = np.full(len(one), -1, np.int64)
                     here[at] = same
-                    shown = [
-                        b" ".join(words.data[words.starts[i] : words.ends[i + size - 1]].tobytes().split()).decode()
-                        for i in at[first].tolist()
-                    ]
-                    yield _rows(names, keys[first] % len(names), size, shown, n)
+                    yield _rows(names, keys[first] % len(names), size, tight.phrases(at[first], size), n)
 
     return dealt.select("lang", "text").mapInArrow(tidy(count), "lang string, size int, phrase string, n long")
 
 
-def _rows(names: list[str], lang: np.ndarray, size: int, shown: list[str], n: np.ndarray) -> pa.RecordBatch:
+class _Tight:
+    """The words of a block with one space behind each, to take phrases from."""
+
+    def __init__(self, words: Words):
+        self.lengths = words.ends - words.starts + 1
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.data = _gather(np.append(words.data, np.uint8(32)), words.starts, self.lengths)
+        self.data[self.begins + self.lengths - 1] = 32
+
+    def phrases(self, at: np.ndarray, size: int) -> pa.Array:
+        """Texts of the phrases of ``size`` words that begin at these words."""
+        last = at + size - 1
+        lengths = self.begins[last] + self.lengths[last] - 1 - self.begins[at]
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        data = _gather(self.data, self.begins[at], lengths)
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The spans of ``data``, one behind the other."""
+    before = np.cumsum(lengths) - lengths
+    return data[np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)]
+
+
+def _rows(names: list[str], lang: np.ndarray, size: int, shown: list[str] | pa.Array, n: np.ndarray) -> pa.RecordBatch:
     langs = pa.DictionaryArray.from_arrays(pa.array(lang.astype(np.int32)), pa.array(names, pa.string())).cast(pa.string())
     return pa.RecordBatch.from_arrays(
-        [langs, pa.array(np.full(len(n), size, np.int32)), pa.array(shown, pa.string()), pa.array(n.astype(np.int64))],
+        [langs, pa.array(np.full(len(n), size, np.int32)), shown if isinstance(shown, pa.Array) else pa.array(shown, pa.string()), pa.array(n.astype(np.int64))],
         ["lang", "size", "phrase", "n"],
     )
 

@@ -94,3 +94,9 @@ def test_few_slots_count_more_and_stay_right(spark):
 def test_no_texts(spark):
     assert phrases.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
     assert phrases.collocations(spark.createDataFrame([("en", None)], "lang string, text string")).count() == 0
+
+
+def test_phrases_are_taken_from_a_block_at_once():
+    words = next(phrases.blocks(["Ein  schöner\tTag , und\tnoch   EINER".encode(), b"", b"a b"]))
+    assert phrases._Tight(words).phrases(words.begins(2), 2).to_pylist() == ["ein schöner", "schöner tag", "und noch", "noch einer", "a b"]
+    assert phrases._Tight(words).phrases(words.begins(3), 3).to_pylist() == ["ein schöner tag", "und noch einer"]
