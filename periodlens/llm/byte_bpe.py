@@ -266,10 +266,11 @@ class Coder:
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > _CACHED or len(self.apart) > _CACHED:
             self._forget()
-        new = set(words) - self.known.keys()
+        index = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(index < 0).tolist()
         if new:
-            self._learn(sorted(new))
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            self._learn(sorted({words[i] for i in new}))
+            index[new] = [self.known[words[i]] for i in new]
         self.asked += np.bincount(index, minlength=len(self.asked))
         lengths = self.lengths[index]
         ends = np.cumsum(lengths)
